@@ -1,0 +1,22 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when a bounded probe proves it has at most
+``max_rows`` rows; otherwise the plan keeps a shuffle join (sort-merge with
+AQE skew splitting). The probe is ``limit(max_rows + 1).count()``, which stops
+reading as soon as the bound is exceeded.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_rows) else df
