@@ -116,3 +116,7 @@ def q_nearest_stations(spark, d):
     "FROM (" + SQL_DIM_WEATHER + ") q", SQL_MATCHED))
 def q_dim_weather(spark, d):
     return round_doubles(star.dim_weather(si.business(spark, d), si.weather(spark, d)))
+
+
+# Registered in their own modules (imported last: they use ``register``).
+from meridian.plans import queries_staging  # noqa: E402,F401

@@ -54,6 +54,14 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
         except Exception:  # pragma: no cover - immutable on some deployments
             pass
+    # Listing many partition directories runs as a Spark job; size it to about
+    # two waves of the cluster's cores rather than one task per directory.
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                       str(max(2 * cores, 8)))
+    except Exception:  # pragma: no cover
+        pass
 
 
 def checkpoint_root(spark: SparkSession) -> str:

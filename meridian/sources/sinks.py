@@ -19,7 +19,14 @@ from meridian.session import scratch_dir
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None) -> None:
-    """Truncate-and-load (``overwrite``) or ``append``."""
+    """Truncate-and-load (``overwrite``) or ``append``.
+
+    Partitioned writes go through a ``rebalance`` on the partition columns:
+    AQE then packs small partitions together and splits a crowded one, so
+    each task writes few files and no task holds a hot day alone.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -50,7 +57,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *partition_by)
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
 
@@ -79,30 +87,41 @@ def _days(lo: _dt.date, hi: _dt.date) -> list[_dt.date]:
 
 
 def replace_date_range(spark: SparkSession, path: str, new_rows: DataFrame, date_col: str,
-                       lo: _dt.date, hi: _dt.date) -> None:
+                       lo: _dt.date, hi: _dt.date) -> list[_dt.date]:
     """Delete every ``date_col`` partition in [lo, hi] and insert ``new_rows``
-    (already restricted to the window), like delete-range-then-insert.
+    (restricted to the window), like delete-range-then-insert.
 
-    A day inside the window with no new rows ends up empty, unlike a plain
-    dynamic overwrite, which would keep the old rows. The loop runs over the
-    days of the window (not over data): each day is one static-partition
-    ``INSERT OVERWRITE`` from the materialised new rows.
+    Days with new rows are replaced by one dynamic partition overwrite. A day
+    of the window with no new rows must end up empty (a dynamic overwrite
+    alone would keep its old rows): each such day gets a static-partition
+    ``INSERT OVERWRITE`` of nothing. The loops run over days of the window,
+    not over data. Returns the emptied days.
     """
-    staged = materialize(spark, new_rows.where(F.col(date_col).between(F.lit(lo), F.lit(hi))),
-                         "range")
-    view = f"__range_{abs(hash(path)) % 10**8}"
-    staged.createOrReplaceTempView(view)
+    window = new_rows.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
+    staged = materialize(spark, window, "range")
+    present = {r[0] for r in staged.select(date_col).distinct().collect()}  # <= window days
+    if present:
+        overwrite_partitions(staged, path, [date_col])
+    emptied = [d for d in _days(lo, hi) if d not in present]
+    if emptied:
+        _empty_partitions(spark, path, date_col, emptied, staged.columns)
+    return emptied
+
+
+def _empty_partitions(spark: SparkSession, path: str, date_col: str,
+                      days: Sequence[_dt.date], columns: Sequence[str]) -> None:
     table = f"__target_{abs(hash(path)) % 10**8}"
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
-    data_cols = [c for c in spark.read.parquet(path).columns if c != date_col]
-    sel = ", ".join(f"`{c}`" for c in data_cols)
+    schema = spark.table(table).schema
+    data = [f for f in schema.fields if f.name != date_col]
+    sel = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     try:
-        for d in _days(lo, hi):
+        for d in days:
             spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{date_col}` = DATE'{d}') "
-                      f"SELECT {sel} FROM {view} WHERE `{date_col}` = DATE'{d}'")
+                      f"SELECT {sel} WHERE false")
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         spark.sql(f"DROP TABLE IF EXISTS {table}")
