@@ -120,3 +120,4 @@ def q_dim_weather(spark, d):
 
 # Registered in their own modules (imported last: they use ``register``).
 from meridian.plans import queries_staging  # noqa: E402,F401
+from meridian.plans import queries_reports  # noqa: E402,F401
