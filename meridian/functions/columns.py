@@ -56,8 +56,10 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     la2, lo2 = F.radians(_c(lat2).cast("double")), F.radians(_c(lon2).cast("double"))
     a = (F.pow(F.sin((la2 - la1) / 2), 2)
          + F.cos(la1) * F.cos(la2) * F.pow(F.sin((lo2 - lo1) / 2), 2))
-    # least(1, a) guards asin against a rounding overshoot for antipodal points
-    return F.lit(2.0 * radius_km) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    # clamp guards asin against a rounding overshoot for antipodal points
+    # (not least(): it skips NULLs, and a NULL coordinate must give NULL)
+    a = F.when(a > F.lit(1.0), F.lit(1.0)).otherwise(a)
+    return F.lit(2.0 * radius_km) * F.asin(F.sqrt(a))
 
 
 def nonempty_ratio(n: Column) -> Column:
