@@ -148,7 +148,7 @@ def local_competition(stg_business: DataFrame, radius_km: float = 100.0) -> Data
                  F.col("lat").alias("o_lat"), F.col("lon").alias("o_lon"))
     pairs = within_radius(b, o, radius_km, left_lat="lat", left_lon="lon",
                           right_lat="o_lat", right_lon="o_lon",
-                          broadcast_right_max_rows=None, extra_keys=[("cat", "o_cat")])
+                          extra_keys=[("cat", "o_cat")])
     pairs = pairs.where(F.col("business_id") != F.col("o_id"))
     n = pairs.groupBy("business_id").agg(F.count(F.lit(1)).alias("competitors"))
     return (b.select("business_id", "cat").join(n, "business_id", "left")

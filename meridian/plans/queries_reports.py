@@ -11,6 +11,7 @@ from meridian.plans import star
 from meridian.plans.registry import (SQL_DIM_USERS, SQL_DIM_WEATHER, SQL_FACT_CTES, SQL_HAVERSINE,
                                      SQL_MATCHED, register, round_doubles)
 from meridian.sources import standins as si
+from meridian.sources.readers import read_json
 from meridian.sources.standin_sql import with_standins
 
 
@@ -126,7 +127,9 @@ def q_volume_report(spark, d):
 @register("star_histogram", with_standins(
     "SELECT average_stars, count(*) AS n FROM v_user GROUP BY average_stars"))
 def q_star_histogram(spark, d):
-    return an.value_histogram(si.user(spark, d), "average_stars")
+    """Profiling as SQL text over a temp view (the notebook style)."""
+    si.user(spark, d).createOrReplaceTempView("users")
+    return spark.sql("SELECT average_stars, count(*) AS n FROM users GROUP BY average_stars")
 
 
 @register("category_share", with_standins("""
@@ -208,3 +211,23 @@ SELECT B.city, CAST(count(*) AS BIGINT) AS n_reviews, round(avg(A.stars), 6) AS
 FROM fact A JOIN v_business B ON A.business_id = B.business_id GROUP BY B.city""", SQL_FACT_CTES))
 def q_city_reviews(spark, d):
     return round_doubles(an.city_reviews(_fact(spark, d), si.business(spark, d)))
+
+
+_INFERRED = [("average_stars", "double"), ("name", "string"), ("review_count", "bigint"),
+             ("useful", "bigint"), ("user_id", "string"), ("yelping_since", "string")]
+
+
+@register("json_inferred", with_standins(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS inferred_type, count({c}) AS non_null, "
+    f"count(DISTINCT {c}) AS distinct_values FROM v_user" for c, t in _INFERRED)))
+def q_json_inferred(spark, d):
+    """Raw user JSON read with a schema inferred from every record
+    (samplingRatio = 1.0), then profiled; reports the inferred types."""
+    from meridian.plans.queries_staging import _raw_user_path
+    raw = read_json(spark, _raw_user_path(spark, d), None, sampling_ratio=1.0)
+    cols = [c for c, _ in _INFERRED]
+    types = dict((f.name, f.dataType.simpleString()) for f in raw.schema.fields)
+    prof = an.column_profile(raw, cols)
+    mapping = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
+    return prof.select("column_name", mapping[F.col("column_name")].alias("inferred_type"),
+                       "non_null", "distinct_values")

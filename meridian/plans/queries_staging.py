@@ -11,7 +11,7 @@ from meridian import schemas as S
 from meridian.operators import anti_join
 from meridian.plans import staging as stg
 from meridian.plans import star
-from meridian.plans.registry import register, round_doubles, SQL_FACT_CTES
+from meridian.plans.registry import ORACLE, register, round_doubles, SQL_FACT_CTES
 from meridian.session import scratch_dir
 from meridian.sources import landed
 from meridian.sources import standins as si
@@ -35,10 +35,14 @@ def q_checkin_explode(spark, d):
     return _roundtrip_parquet(spark, stg.stage_checkins(raw), "stg-checkin")
 
 
-def _raw_users(spark, d):
+def _raw_user_path(spark, d):
     raw_path = scratch_dir(spark, "raw-user")
     write_json_lines(landed.raw_users(spark, d), raw_path)
-    return read_json(spark, raw_path, S.RAW_USER)
+    return raw_path
+
+
+def _raw_users(spark, d):
+    return read_json(spark, _raw_user_path(spark, d), S.RAW_USER)
 
 
 @register("user_clean", with_standins(
@@ -236,3 +240,20 @@ def q_replace_date_range(spark, d):
     window = star.fact_reviews(review, checkin, RANGE_LO, RANGE_HI)
     replace_date_range(spark, p, window, "date", RANGE_LO, RANGE_HI)
     return round_doubles(spark.read.parquet(p).select(*S.FACT_REVIEW_COLS))
+
+
+@register("weather_stream", ORACLE["weather_upsert"])
+def q_weather_stream(spark, d):
+    """Upsert fixture run as a stream: landing day files → foreachBatch upsert."""
+    from meridian.streaming import start_weather_stream
+    staging, landing = _upsert_inputs(spark, d)
+    path = scratch_dir(spark, "stg-weather-stream")
+    write_parquet(stg.weather_table_rows(staging), path, partition_by=[stg.WEATHER_PART])
+    days = scratch_dir(spark, "landing-days")
+    stg.write_day_files(landing, days)
+    q = start_weather_stream(spark, days, path, scratch_dir(spark, "stream-ckpt"),
+                             max_files_per_trigger=8)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return stg.read_weather_table(spark, path)

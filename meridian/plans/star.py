@@ -63,16 +63,20 @@ def nearest_stations(stg_business: DataFrame, stg_weather: DataFrame, *,
 
 def dim_weather(stg_business: DataFrame, stg_weather: DataFrame, *,
                 matched: DataFrame | None = None, brute: bool = False,
-                broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                broadcast_max_rows: int | None = None) -> DataFrame:
     """Per business and day: averages of the readings of its nearest stations.
 
     Readings join matched stations on the station id alone, so a station
     listed under several locations counts once per listing (as in the
     source's model). The matched set (at most k rows per business) is
-    broadcast only when a bounded probe proves it small.
+    broadcast by AQE once its measured size is under the adaptive broadcast
+    threshold; ``broadcast_max_rows`` forces an up-front bounded probe
+    instead (use it when ``matched`` is a stored table).
     """
     m = matched if matched is not None else nearest_stations(stg_business, stg_weather, brute=brute)
-    m = broadcast_if_small(m.select("business_id", "station", "dist"), broadcast_max_rows)
+    m = m.select("business_id", "station", "dist")
+    if broadcast_max_rows:
+        m = broadcast_if_small(m, broadcast_max_rows)
     w = stg_weather.select(date_of_text("date").alias("date"), "station", "average_temp",
                            "prcp", "long", "lat")
     j = w.join(m, on="station", how="inner")

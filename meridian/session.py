@@ -14,6 +14,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # runtime (measured) size limit under which AQE turns a shuffle join into
+    # a broadcast join; the planner's static estimate keeps its own limit
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Only matters when total shuffle data / cores is below 1 MB: keeps small
     # partitioned writes parallel instead of packing them into one task.

@@ -32,11 +32,11 @@ def test_grid_equals_brute_force_everywhere(spark):
     assert b.exceptAll(g).count() == 0
 
 
-def test_grid_without_broadcast_matches(spark):
+def test_grid_with_probed_broadcast_matches(spark):
     left = _points(spark, 100, 3, "a")
     right = _points(spark, 300, 4, "b")
     kw = dict(left_lat="a_lat", left_lon="a_lon", right_lat="b_lat", right_lon="b_lon")
-    g = within_radius(left, right, 800.0, broadcast_right_max_rows=None, **kw)
+    g = within_radius(left, right, 800.0, broadcast_right_max_rows=10_000, **kw)
     b = within_radius_brute(left, right, 800.0, **kw)
     assert rows(g, "a_id", "b_id") == rows(b, "a_id", "b_id")
 
