@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions import date_of_text
-from meridian.operators import within_radius
+from meridian.operators import count_within_radius
 
 HOT_DAY_CELSIUS = 35.0
 TEXT_PREVIEW = 30
@@ -140,20 +140,22 @@ def primary_category(c) -> F.Column:
 
 def local_competition(stg_business: DataFrame, radius_km: float = 100.0) -> DataFrame:
     """Per business, other businesses of the same primary category within
-    ``radius_km`` (grid range join, no all-pairs product)."""
+    ``radius_km``. Counted with :func:`count_within_radius` (per-cell counts for
+    cells wholly inside the circle, exact tests only on its edge), minus the
+    business itself."""
     b = stg_business.select("business_id", primary_category("categories").alias("cat"),
                             F.col("latitude").cast("double").alias("lat"),
                             F.col("longitude").cast("double").alias("lon"))
-    o = b.select(F.col("business_id").alias("o_id"), F.col("cat").alias("o_cat"),
-                 F.col("lat").alias("o_lat"), F.col("lon").alias("o_lon"))
-    pairs = within_radius(b, o, radius_km, left_lat="lat", left_lon="lon",
-                          right_lat="o_lat", right_lon="o_lon",
-                          extra_keys=[("cat", "o_cat")])
-    pairs = pairs.where(F.col("business_id") != F.col("o_id"))
-    n = pairs.groupBy("business_id").agg(F.count(F.lit(1)).alias("competitors"))
-    return (b.select("business_id", "cat").join(n, "business_id", "left")
+    o = b.select(F.col("cat").alias("o_cat"), F.col("lat").alias("o_lat"),
+                 F.col("lon").alias("o_lon"))
+    n = count_within_radius(b, o, radius_km, left_key="business_id", left_lat="lat",
+                            left_lon="lon", right_lat="o_lat", right_lon="o_lon",
+                            extra_keys=[("cat", "o_cat")], out_col="__n")
+    has_point = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("cat").isNotNull()
+    return (b.join(n, "business_id")
              .select("business_id", F.col("cat").alias("category"),
-                     F.coalesce(F.col("competitors"), F.lit(0)).cast("bigint").alias("competitors")))
+                     (F.col("__n") - F.when(has_point, 1).otherwise(0)).cast("bigint")
+                      .alias("competitors")))
 
 
 def city_reviews(fact: DataFrame, stg_business: DataFrame) -> DataFrame:

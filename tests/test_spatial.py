@@ -102,3 +102,24 @@ def test_top_k_after_dense_rank_dedupes(spark):
     out = nearest_k(pts, sites, k=3, max_km=50, point_key=["pid"], site_key="sid",
                     point_lat="plat", point_lon="plon", site_lat="slat", site_lon="slon")
     assert rows(out, "sid", "rid") == [("S1", 1), ("S2", 2)]
+
+
+def test_count_within_radius_equals_brute_force(spark):
+    from meridian.operators import count_within_radius
+    rnd = random.Random(11)
+    # a dense cluster (many whole cells), a sparse spread, points near a pole
+    data = ([(f"a{i}", 40 + rnd.gauss(0, 0.3), -74 + rnd.gauss(0, 0.3), rnd.choice("xy"))
+             for i in range(600)]
+            + [(f"b{i}", rnd.uniform(-60, 60), rnd.uniform(-180, 180), rnd.choice("xy"))
+               for i in range(200)]
+            + [(f"c{i}", 89.5 + rnd.random() * 0.5, rnd.uniform(-180, 180), "x") for i in range(30)])
+    left = spark.createDataFrame(data, "id string, lat double, lon double, cat string")
+    right = left.select(F.col("cat").alias("rcat"), F.col("lat").alias("rlat"),
+                        F.col("lon").alias("rlon"))
+    got = count_within_radius(left, right, 60.0, left_key="id", left_lat="lat", left_lon="lon",
+                              right_lat="rlat", right_lon="rlon", extra_keys=[("cat", "rcat")])
+    pairs = within_radius_brute(left, right, 60.0, left_lat="lat", left_lon="lon",
+                                right_lat="rlat", right_lon="rlon").where(F.col("cat") == F.col("rcat"))
+    want = left.select("id").join(pairs.groupBy("id").count(), "id", "left").fillna(0)
+    assert rows(got) == rows(want)
+    assert max(r[1] for r in rows(got)) > 100      # the dense cluster was exercised
