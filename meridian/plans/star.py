@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions import date_of_text
-from meridian.operators import allocate_evenly, broadcast_if_small, nearest_k
+from meridian.operators import allocate_evenly, nearest_k
+from meridian.operators.sizing import fits
 from meridian.schemas import (DIM_BUSINESS_COLS, DIM_USER_COLS, DIM_WEATHER_COLS,
                               FACT_REVIEW_COLS)
 
@@ -63,20 +64,26 @@ def nearest_stations(stg_business: DataFrame, stg_weather: DataFrame, *,
 
 def dim_weather(stg_business: DataFrame, stg_weather: DataFrame, *,
                 matched: DataFrame | None = None, brute: bool = False,
-                broadcast_max_rows: int | None = None) -> DataFrame:
+                broadcast_max_rows: int = 3_000_000) -> DataFrame:
     """Per business and day: averages of the readings of its nearest stations.
 
     Readings join matched stations on the station id alone, so a station
     listed under several locations counts once per listing (as in the
-    source's model). The matched set (at most k rows per business) is
-    broadcast by AQE once its measured size is under the adaptive broadcast
-    threshold; ``broadcast_max_rows`` forces an up-front bounded probe
-    instead (use it when ``matched`` is a stored table).
+    source's model). The matched set has at most k rows per business, so it is
+    broadcast when k x (business count) fits ``broadcast_max_rows``. That bound
+    is proven by a bounded count of the business table, without computing the
+    matched set twice. Beyond it, the join is a shuffle join and AQE may still
+    broadcast on the measured size.
     """
-    m = matched if matched is not None else nearest_stations(stg_business, stg_weather, brute=brute)
+    if matched is None:
+        m = nearest_stations(stg_business, stg_weather, brute=brute)
+        small = fits(stg_business, broadcast_max_rows // NEAREST_STATIONS)
+    else:
+        m = matched
+        small = fits(m, broadcast_max_rows)
     m = m.select("business_id", "station", "dist")
-    if broadcast_max_rows:
-        m = broadcast_if_small(m, broadcast_max_rows)
+    if small:
+        m = F.broadcast(m)
     w = stg_weather.select(date_of_text("date").alias("date"), "station", "average_temp",
                            "prcp", "long", "lat")
     j = w.join(m, on="station", how="inner")
