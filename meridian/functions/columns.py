@@ -56,10 +56,11 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_RADIUS_KM) ->
     la2, lo2 = F.radians(_c(lat2).cast("double")), F.radians(_c(lon2).cast("double"))
     a = (F.pow(F.sin((la2 - la1) / 2), 2)
          + F.cos(la1) * F.cos(la2) * F.pow(F.sin((lo2 - lo1) / 2), 2))
-    # clamp guards asin against a rounding overshoot for antipodal points
-    # (not least(): it skips NULLs, and a NULL coordinate must give NULL)
-    a = F.when(a > F.lit(1.0), F.lit(1.0)).otherwise(a)
-    return F.lit(2.0 * radius_km) * F.asin(F.sqrt(a))
+    # a rounding overshoot past 1 (antipodal points) makes asin NaN: nanvl
+    # maps it to pi/2, i.e. half the circumference. NULL stays NULL (unlike a
+    # least() clamp, which skips NULLs), and `a` appears once, keeping the
+    # generated code small enough to be JIT-compiled.
+    return F.lit(2.0 * radius_km) * F.nanvl(F.asin(F.sqrt(a)), F.lit(math.pi / 2))
 
 
 def nonempty_ratio(n: Column) -> Column:
