@@ -231,3 +231,56 @@ def q_json_inferred(spark, d):
     mapping = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
     return prof.select("column_name", mapping[F.col("column_name")].alias("inferred_type"),
                        "non_null", "distinct_values")
+
+
+# --- the daily jobs end to end, reporting every check ---------------------------------
+PIPE_DS = "1996-02-02"          # look-back covers 1996-01-29 … 1996-01-31
+PIPE_FACT = ("1996-01-14", "1996-01-15")
+
+
+@register("daily_pipeline", with_standins(f"""
+SELECT 'weather_key_unique' AS "check", CAST(count(DISTINCT date) AS DOUBLE) AS value,
+       CAST(0 AS DOUBLE) AS expected, count(DISTINCT date) = 0 AS passed
+FROM (SELECT date, location_id, station FROM v_weather GROUP BY 1, 2, 3 HAVING count(*) > 1) q
+UNION ALL
+SELECT 'weather_no_missing_day', CAST(datediff('day', min(d), max(d)) + 1 - count(DISTINCT d) AS DOUBLE),
+       CAST(0 AS DOUBLE), datediff('day', min(d), max(d)) + 1 - count(DISTINCT d) = 0
+FROM (SELECT cast(substr(date, 1, 10) AS date) AS d FROM v_weather) q
+UNION ALL
+SELECT t || '_nonempty', round(CAST(n AS DOUBLE) / (CAST(n AS DOUBLE) + 0.001), 6), CAST(1 AS DOUBLE),
+       abs(1.0 - CAST(n AS DOUBLE) / (CAST(n AS DOUBLE) + 0.001)) <= 0.001
+FROM (SELECT 'dim_users' AS t, count(*) AS n FROM v_user
+      UNION ALL SELECT 'dim_business', count(*) FROM v_business
+      UNION ALL SELECT 'dim_weather', count(*) FROM dimw) c
+UNION ALL
+SELECT 'fact_checkins_reconcile', CAST(count(*) AS DOUBLE), CAST(0 AS DOUBLE), count(*) = 0
+FROM (SELECT date, business_id, sum(checkin_count) AS f FROM fact
+      WHERE date BETWEEN DATE '{PIPE_FACT[0]}' AND DATE '{PIPE_FACT[1]}' GROUP BY 1, 2) a
+JOIN (SELECT cast(date AS date) AS date, business_id, count(*) AS s FROM v_checkin
+      WHERE cast(date AS date) BETWEEN DATE '{PIPE_FACT[0]}' AND DATE '{PIPE_FACT[1]}' GROUP BY 1, 2) b
+  ON a.date = b.date AND a.business_id = b.business_id
+WHERE abs(a.f - b.s) > 0.001""", SQL_DIM_W_CTE))
+def q_daily_pipeline(spark, d):
+    """Weather look-back + upsert, dimensions, fact window, each with checks."""
+    import datetime as _dt
+    from meridian.plans import pipeline as pl
+    from meridian.plans import staging as stg
+    from meridian.session import scratch_dir
+    from meridian.sources.sinks import write_parquet
+    wh = pl.Warehouse(scratch_dir(spark, "warehouse"))
+    w = si.weather(spark, d)
+    write_parquet(stg.weather_table_rows(w.where(F.substring("date", 1, 10) < "1996-01-29")),
+                  wh.path("stg_weather"), partition_by=[stg.WEATHER_PART])
+    days = wh.path("day_files")
+    stg.write_day_files(w, days)
+    ds = _dt.date.fromisoformat(PIPE_DS)
+    lo, hi = (_dt.date.fromisoformat(x) for x in PIPE_FACT)
+    results = [
+        pl.weather_daily(spark, wh, days, ds, raise_on_failure=False),
+        pl.load_dimensions(spark, wh, si.business(spark, d), si.staged_user(spark, d),
+                           si.friend(spark, d), raise_on_failure=False),
+        pl.load_fact_window(spark, wh, si.review(spark, d), si.staged_checkin(spark, d), lo, hi,
+                            raise_on_failure=False),
+    ]
+    out = results[0].unionByName(results[1]).unionByName(results[2])
+    return round_doubles(out.select("check", "value", "expected", "passed"))
