@@ -123,3 +123,22 @@ def test_count_within_radius_equals_brute_force(spark):
     want = left.select("id").join(pairs.groupBy("id").count(), "id", "left").fillna(0)
     assert rows(got) == rows(want)
     assert max(r[1] for r in rows(got)) > 100      # the dense cluster was exercised
+
+
+def test_nearest_with_crowded_cells_equals_brute_force(spark):
+    rnd = random.Random(21)
+    # a crowded cluster (split into sub-cells at a low threshold), sparse
+    # stations around it, businesses inside and around the cluster
+    st = ([(f"S{i}", 0.0, 0.0) for i in range(0)]
+          + [(f"C{i}", 40 + rnd.gauss(0, 0.05), -74 + rnd.gauss(0, 0.05)) for i in range(400)]
+          + [(f"R{i}", 40 + rnd.uniform(-1, 1), -74 + rnd.uniform(-1.3, 1.3)) for i in range(120)]
+          + [("C7", 40.3, -74.3)])                                  # one station, two places
+    sites = spark.createDataFrame(st, "sid string, slat double, slon double")
+    pts = spark.createDataFrame(
+        [(f"P{i}", 40 + rnd.gauss(0, 0.3), -74 + rnd.gauss(0, 0.3)) for i in range(150)]
+        + [("Pnull", None, None), ("Pfar", 10.0, 10.0)], "pid string, plat double, plon double")
+    kw = dict(k=3, max_km=50, point_key=["pid"], site_key="sid", point_lat="plat",
+              point_lon="plon", site_lat="slat", site_lon="slon")
+    fast = nearest_k(pts, sites, crowded_cell_sites=16, split=8, **kw)
+    assert rows(fast) == rows(nearest_k(pts, sites, brute=True, **kw))
+    assert rows(nearest_k(pts, sites, **kw)) == rows(fast)          # default threshold too
