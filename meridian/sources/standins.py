@@ -67,7 +67,7 @@ def weather(spark, sf_dir) -> DataFrame:
         F.concat(_s(F.col("d.dt")), F.lit("T00:00:00")).alias("date"),
         F.concat(F.lit("CITY:"), _s(k % 50)).alias("location_id"),
         F.concat(F.lit("City "), _s(k % 50), F.lit(" US")).alias("city_name"),
-        ((k * 31 + F.col("d.dom") * 17) % 450).cast("double").__truediv__(10).alias("average_temp"),
+        (((k * 31 + F.col("d.dom") * 17) % 450).cast("double") / 10).alias("average_temp"),
         "station", "long", "lat",
         ((k + F.col("d.dom")) % 5).cast("double").alias("prcp"),
     )

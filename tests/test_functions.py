@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from meridian.functions import date_of_text, haversine_km, parse_timestamp, split_list
 

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from meridian.operators import anti_join, upsert
 from meridian.plans import staging as stg

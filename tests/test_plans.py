@@ -70,7 +70,6 @@ def test_lookback_read_prunes_partitions(spark):
 
 
 def test_upsert_reads_only_touched_partitions(spark):
-    from meridian.operators.merge import anti_join
     path = scratch_dir(spark, "t-plan-upsert")
     w = si.weather(spark, SF_SMALL)
     from meridian.sources.sinks import write_parquet
