@@ -142,3 +142,16 @@ def test_nearest_with_crowded_cells_equals_brute_force(spark):
     fast = nearest_k(pts, sites, crowded_cell_sites=16, split=8, **kw)
     assert rows(fast) == rows(nearest_k(pts, sites, brute=True, **kw))
     assert rows(nearest_k(pts, sites, **kw)) == rows(fast)          # default threshold too
+
+
+def test_nearest_with_very_dense_point_cluster_uses_deeper_levels(spark):
+    rnd = random.Random(5)
+    st = ([(f"D{i}", 40 + rnd.gauss(0, 0.0008), -74 + rnd.gauss(0, 0.0008)) for i in range(300)]
+          + [(f"R{i}", 40 + rnd.uniform(-0.6, 0.6), -74 + rnd.uniform(-0.8, 0.8)) for i in range(80)])
+    sites = spark.createDataFrame(st, "sid string, slat double, slon double")
+    pts = spark.createDataFrame([(f"P{i}", 40 + rnd.gauss(0, 0.1), -74 + rnd.gauss(0, 0.1))
+                                 for i in range(80)], "pid string, plat double, plon double")
+    kw = dict(k=3, max_km=50, point_key=["pid"], site_key="sid", point_lat="plat",
+              point_lon="plon", site_lat="slat", site_lon="slon")
+    assert (rows(nearest_k(pts, sites, crowded_cell_sites=8, split=4, **kw))
+            == rows(nearest_k(pts, sites, brute=True, **kw)))
