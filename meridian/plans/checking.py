@@ -2,7 +2,7 @@
 its DuckDB oracle on the same parquet tables and compare them.
 
 Comparison: column names, row count, and the sorted multiset of rows with
-floats rounded to 6 places.
+floats rounded to 6 places (``exact=True``: floats compared bit for bit).
 """
 
 from __future__ import annotations
@@ -21,19 +21,19 @@ def duckdb_conn(sf_dir: str):
     return con
 
 
-def _norm(v):
+def _norm(v, exact: bool = False):
     if v is None:
         return (0, "")
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, f"{round(v, 6):.6f}")
+        return (1, repr(v) if exact else f"{round(v, 6):.6f}")
     if hasattr(v, "isoformat"):
         return (1, v.isoformat())
     return (1, str(v))
 
 
-def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> dict:
+def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None, exact: bool = False) -> dict:
     con = con or duckdb_conn(sf_dir)
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
@@ -46,8 +46,8 @@ def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None) -> dict:
     if res["cols_match"]:
         order = [o_cols.index(c) for c in s_cols]
         o_rows = [tuple(r[i] for i in order) for r in o_rows]
-        a = sorted(tuple(_norm(v) for v in r) for r in s_rows)
-        b = sorted(tuple(_norm(v) for v in r) for r in o_rows)
+        a = sorted(tuple(_norm(v, exact) for v in r) for r in s_rows)
+        b = sorted(tuple(_norm(v, exact) for v in r) for r in o_rows)
         res["values_match"] = a == b
         if a != b:
             sa, sb = set(a), set(b)

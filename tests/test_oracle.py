@@ -18,7 +18,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, name, QUERIES[name], ORACLE[name], SF_SMALL, con)
+    res = compare(spark, name, QUERIES[name], ORACLE[name], SF_SMALL, con, exact=True)
     assert res["cols_match"], res
     assert res["spark_rows"] == res["oracle_rows"], res
     assert res["values_match"], res
