@@ -9,9 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meridian.llm.common import table
+from meridian.llm.ngram_join import ngram_components
 from meridian.llm.superkmer import remove_repeats
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have Jaccard 0.75 or more."""
+    return (ngram_components(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_shingles", "component_id", "class_size"))
+
+
 def op10_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by 35-word windows that occur more than once are removed."""
     return (remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
@@ -19,6 +26,7 @@ def op10_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op10_superkmer_dedup": op10_superkmer_dedup,
 }
 
