@@ -7,12 +7,23 @@ the digest columns its contract names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meridian.llm.common import table
+from meridian.llm import langid
 from meridian.llm.ngram_join import ngram_components
 from meridian.llm.superkmer import remove_repeats
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~langid.held_out())
+    return (langid.identify(docs, model, keep=["doc_id"])
+            .select("doc_id", langid.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"),
+                    F.col("lang_rejected").alias("rejected")))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have Jaccard 0.75 or more."""
     return (ngram_components(table(spark, sf_dir, "documents"))
@@ -26,6 +37,7 @@ def op10_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op10_superkmer_dedup": op10_superkmer_dedup,
 }
