@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm.common import table
-from meridian.llm import langid
+from meridian.llm import langid, packing, pii
 from meridian.llm.ngram_join import ngram_components
 from meridian.llm.superkmer import remove_repeats
 
@@ -30,6 +30,16 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "class_size"))
 
 
+def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base patterns and identifiers found by their contexts."""
+    return pii.digest(pii.find_private(table(spark, sf_dir, "documents")))
+
+
+def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in optimal length buckets and token-budget batches."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words covered by 35-word windows that occur more than once are removed."""
     return (remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
@@ -39,6 +49,8 @@ def op10_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op6_bootstrapped_pii": op6_bootstrapped_pii,
+    "op9_length_buckets": op9_length_buckets,
     "op10_superkmer_dedup": op10_superkmer_dedup,
 }
 
