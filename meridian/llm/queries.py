@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm.common import table
-from meridian.llm import langid, packing, pii
+from meridian.llm import decontam, langid, packing, pii
 from meridian.llm.ngram_join import ngram_components
 from meridian.llm.superkmer import remove_repeats
 
@@ -30,6 +30,11 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "class_size"))
 
 
+def op4_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item: one row per document and item."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base patterns and identifiers found by their contexts."""
     return pii.digest(pii.find_private(table(spark, sf_dir, "documents")))
@@ -49,6 +54,7 @@ def op10_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_latent_decontamination": op4_latent_decontamination,
     "op6_bootstrapped_pii": op6_bootstrapped_pii,
     "op9_length_buckets": op9_length_buckets,
     "op10_superkmer_dedup": op10_superkmer_dedup,
