@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm.common import table
-from meridian.llm import decontam, langid, packing, pii
+from meridian.llm import decontam, html_main, langid, packing, pii, spotsigs, toxicity
 from meridian.llm.ngram_join import ngram_components
 from meridian.llm.superkmer import remove_repeats
 
@@ -35,11 +35,28 @@ def op4_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: base patterns and identifiers found by their contexts."""
     return pii.digest(pii.find_private(table(spark, sf_dir, "documents")))
 
 
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, compared with its own and the next one's."""
+    return spotsigs.fingerprint_with_edit(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document; ``toxic`` is the decision of the chain's last model."""
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    return toxicity.predict(docs, chain).withColumnRenamed("flagged", "toxic")
+
+
 def op9_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in optimal length buckets and token-budget batches."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -55,7 +72,10 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_latent_decontamination": op4_latent_decontamination,
+    "op5_main_text": op5_main_text,
     "op6_bootstrapped_pii": op6_bootstrapped_pii,
+    "op7_spotsigs": op7_spotsigs,
+    "op8_toxicity_chain": op8_toxicity_chain,
     "op9_length_buckets": op9_length_buckets,
     "op10_superkmer_dedup": op10_superkmer_dedup,
 }
