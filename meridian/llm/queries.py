@@ -10,11 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm.common import table
-from meridian.llm import decontam, html_main, langid, packing, pii, spotsigs, toxicity
+from meridian.llm import decontam, html_main, langid, licenses, packing, pii, spotsigs, toxicity
 from meridian.llm.ngram_join import ngram_components
 from meridian.llm.superkmer import remove_repeats
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named or quoted in every document, with their places in words."""
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["first_word"].cast("string"), m["end_word"].cast("string")))
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"),
+                        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+                        F.array_join(spans, ",").alias("spans"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -69,6 +78,7 @@ def op10_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_language_id": op2_language_id,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_latent_decontamination": op4_latent_decontamination,
@@ -80,4 +90,43 @@ QUERIES = {
     "op10_superkmer_dedup": op10_superkmer_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op3_ngram_jaccard": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]) END AS sh FROM w
+), sizes AS (SELECT doc_id, len(sh) AS n, hash(list_sort(sh)) AS k FROM s),
+x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT sizes.doc_id, CAST(n AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = sizes.doc_id) AS component_id,
+  CASE WHEN n = 0 THEN 1 ELSE count(*) OVER (PARTITION BY k) END AS class_size
+FROM sizes
+""",
+    "op10_superkmer_dedup": f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS.format("text")} AS ws FROM documents),
+win AS (
+  SELECT r, unnest(range(1, len(ws) - 33)) AS i, unnest([array_to_string(ws[j:j + 34], ' ') FOR j IN range(1, len(ws) - 33)]) AS t
+  FROM w WHERE len(ws) >= 35
+), hit AS (SELECT r, i FROM win WHERE t IN (SELECT t FROM win GROUP BY t HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, i + d AS i FROM hit, range(0, 35) AS o(d)),
+words AS (SELECT r, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+kept AS (
+  SELECT words.r, count(*) AS n, string_agg(word, ' ' ORDER BY words.i) AS t
+  FROM words LEFT JOIN gone ON gone.r = words.r AND gone.i = words.i WHERE gone.r IS NULL GROUP BY words.r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.r = w.r
+""",
+}
