@@ -134,6 +134,22 @@ def weather_footfall(dim_weather: DataFrame, stg_checkin: DataFrame,
                   F.avg(F.coalesce(F.col("n"), F.lit(0))).alias("avg_checkins")))
 
 
+def footfall_corr(dim_weather: DataFrame, stg_checkin: DataFrame) -> DataFrame:
+    """Correlation of temperature and of rain with check-ins per business-day (0 when none)."""
+    daily = (stg_checkin.groupBy(F.col("date").cast("date").alias("date"), "business_id")
+                        .agg(F.count(F.lit(1)).alias("n")))
+    j = dim_weather.select("date", "business_id", "average_temp", "prcp").join(
+        daily, ["date", "business_id"], "left")
+    n = F.coalesce(F.col("n"), F.lit(0)).cast("double")
+    return j.agg(F.count(F.lit(1)).alias("business_days"), F.corr("average_temp", n).alias("corr_temp"),
+                 F.corr("prcp", n).alias("corr_prcp"))
+
+
+def sorted_head(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows in a global order (a partial top-n in every task)."""
+    return df.orderBy(*order).limit(n).select(*[c for c in df.columns if c != "p_partkey"])
+
+
 def primary_category(c) -> F.Column:
     return F.trim(F.split(F.col(c), ",").getItem(0))
 

@@ -124,21 +124,21 @@ def q_weather_lookback(spark, d):
     return stg.land_lookback(spark, days, scratch_dir(spark, "ldg-weather"), LOOKBACK_DS)
 
 
-UPSERT_SPLIT = "1996-01-30"   # staging holds days before this
-LANDING_FROM = "1996-01-29"   # landing holds days from this on (one day overlaps)
+LANDED = ("1996-01-29", "1996-01-31")   # days of the landing; staging lacks the last two of them
+MISSING = "1996-01-30"
 
 SQL_UPSERT_CTES = [
-    ("stg", f"SELECT * FROM v_weather WHERE substr(date, 1, 10) < '{UPSERT_SPLIT}'"),
+    ("stg", f"SELECT * FROM v_weather WHERE substr(date, 1, 10) NOT BETWEEN '{MISSING}' AND '{LANDED[1]}'"),
     ("ldg", "SELECT date, location_id, city_name, average_temp + 1 AS average_temp, station, "
-            f"long, lat, prcp FROM v_weather WHERE substr(date, 1, 10) >= '{LANDING_FROM}'"),
+            f"long, lat, prcp FROM v_weather WHERE substr(date, 1, 10) BETWEEN '{LANDED[0]}' AND '{LANDED[1]}'"),
 ]
 
 
 def _upsert_inputs(spark, d):
     w = si.weather(spark, d)
     day = F.substring("date", 1, 10)
-    staging = w.where(day < UPSERT_SPLIT)
-    landing = (w.where(day >= LANDING_FROM)
+    staging = w.where(~day.between(MISSING, LANDED[1]))
+    landing = (w.where(day.between(*LANDED))
                 .withColumn("average_temp", F.col("average_temp") + 1)
                 .select(*S.STG_WEATHER.fieldNames()))
     return staging, landing
@@ -227,21 +227,38 @@ def q_parquet_roundtrip(spark, d):
 
 
 RANGE_LO, RANGE_HI = _dt.date(1996, 1, 1), _dt.date(1996, 1, 2)
+STRAY_DAY = _dt.date(1999, 6, 15)       # after every source row
 
 
 @register("replace_date_range", with_standins(
-    f"SELECT * FROM ({SQL_FACT_ROUNDED}) k WHERE date NOT BETWEEN DATE '{RANGE_LO}' AND DATE '{RANGE_HI}' "
-    f"UNION ALL SELECT * FROM ({SQL_FACT_ROUNDED}) n "
-    f"WHERE date BETWEEN DATE '{RANGE_LO}' AND DATE '{RANGE_HI}'", SQL_FACT_CTES))
+    SQL_FACT_ROUNDED, SQL_FACT_CTES))
 def q_replace_date_range(spark, d):
+    """The table starts with altered rows in the window and with rows on a day
+    that has no source rows; reloading both windows must restore the fact."""
     review, checkin = si.review(spark, d), si.staged_checkin(spark, d)
     p = scratch_dir(spark, "fact-by-day")
-    write_parquet(star.fact_reviews(review, checkin), p, partition_by=["date"])
-    window = star.fact_reviews(review, checkin, RANGE_LO, RANGE_HI)
-    replace_date_range(spark, p, window, "date", RANGE_LO, RANGE_HI)
+    fact = star.fact_reviews(review, checkin)
+    in_window = F.col("date").between(F.lit(RANGE_LO), F.lit(RANGE_HI))
+    altered = fact.withColumn("stars", F.when(in_window, F.col("stars") + 10).otherwise(F.col("stars")))
+    stray = fact.where(in_window).withColumn("date", F.lit(STRAY_DAY))
+    write_parquet(altered.unionByName(stray), p, partition_by=["date"])
+    for lo, hi in ((RANGE_LO, RANGE_HI), (STRAY_DAY, STRAY_DAY)):
+        replace_date_range(spark, p, star.fact_reviews(review, checkin, lo, hi), "date", lo, hi)
     return round_doubles(spark.read.parquet(p).select(*S.FACT_REVIEW_COLS))
 
 
+@register("truncate_load_partitioned", with_standins(
+    "SELECT date, location_id, city_name, average_temp, station, long, lat, prcp FROM v_weather "
+    "WHERE substr(date, 1, 10) <> '1996-01-16'"))
+def q_truncate_load_partitioned(spark, d):
+    """A second load without one day: its partition must be gone afterwards."""
+    p = scratch_dir(spark, "weather-by-day")
+    w = stg.weather_table_rows(si.weather(spark, d))
+    write_parquet(w, p, partition_by=[stg.WEATHER_PART])
+    write_parquet(w.where(F.substring("date", 1, 10) != "1996-01-16"), p, partition_by=[stg.WEATHER_PART])
+    return stg.read_weather_table(spark, p)
+
+
 @register("weather_stream", ORACLE["weather_upsert"])
 def q_weather_stream(spark, d):
     """Upsert fixture run as a stream: landing day files → foreachBatch upsert."""

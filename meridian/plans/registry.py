@@ -43,39 +43,45 @@ SQL_HAVERSINE = ("2 * 6371.0088 * asin(sqrt(least(1.0, "
                  "cos(radians({lat1})) * cos(radians({lat2})) * "
                  "pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))))")
 
+# The oracles are written from the definitions, by other means than the plans:
+# ranks by counting what is closer, shares by dividing counts per key.
 SQL_MATCHED = [
-    ("st", "SELECT DISTINCT station, long, lat FROM v_weather"),
-    ("pairs", "SELECT DISTINCT A.business_id, A.longitude, A.latitude, B.station, round("
-              + SQL_HAVERSINE.format(lat1="A.latitude", lon1="A.longitude", lat2="B.lat", lon2="B.long")
-              + ", 0) AS dist FROM v_business A CROSS JOIN st B"),
-    ("matched", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY business_id "
-                "ORDER BY dist, station) AS rid FROM pairs WHERE dist < 50) q WHERE rid <= 3"),
+    ("sites", "SELECT station, long, lat FROM v_weather GROUP BY ALL"),
+    ("near", "SELECT DISTINCT p.business_id, p.longitude, p.latitude, q.station, round("
+             + SQL_HAVERSINE.format(lat1="p.latitude", lon1="p.longitude", lat2="q.lat", lon2="q.long")
+             + ") AS dist FROM v_business p, sites q WHERE abs(p.latitude - q.lat) < 1 AND dist < 50"),
+    ("matched", """
+SELECT n.business_id, n.longitude, n.latitude, n.station, n.dist, 1 + count(closer.station) AS rid
+FROM near n LEFT JOIN near closer
+  ON closer.business_id = n.business_id AND (closer.dist, closer.station) < (n.dist, n.station)
+GROUP BY n.business_id, n.longitude, n.latitude, n.station, n.dist
+HAVING count(closer.station) < 3"""),
 ]
 
 SQL_FACT_CTES = [
-    ("ck", "SELECT cast(date AS date) AS cidate, business_id, count(*) AS checkin_count "
-           "FROM v_checkin GROUP BY 1, 2"),
+    ("visits", "SELECT CAST(date AS DATE) AS day, business_id, count(*) AS visits FROM v_checkin GROUP BY ALL"),
+    ("written", "SELECT CAST(left(date, 10) AS DATE) AS day, business_id, count(*) AS reviews FROM v_review GROUP BY ALL"),
+    ("shares", "SELECT day, business_id, CAST(visits AS DOUBLE) / reviews AS share "
+               "FROM visits JOIN written USING (day, business_id)"),
     ("fact", """
-SELECT cast(substr(A.date, 1, 10) AS date) AS date, A.business_id, A.user_id, A.review_id, A.stars,
-       A.useful, A.cool, A.funny, A.text,
-       cast(coalesce(B.checkin_count, 0) AS double)
-         / count(*) OVER (PARTITION BY cast(substr(A.date, 1, 10) AS date), A.business_id) AS checkin_count
-FROM v_review A LEFT JOIN ck B
-  ON cast(substr(A.date, 1, 10) AS date) = B.cidate AND A.business_id = B.business_id"""),
+SELECT r.day AS date, r.business_id, user_id, review_id, stars, useful, cool, funny, text,
+       ifnull(share, 0.0) AS checkin_count
+FROM (SELECT *, CAST(left(date, 10) AS DATE) AS day FROM v_review) r
+LEFT JOIN shares ON shares.day = r.day AND shares.business_id = r.business_id"""),
 ]
 
 SQL_DIM_USERS = """
-SELECT A.user_id, A.average_stars,
-       CAST(CASE WHEN coalesce(B.friend_cnt, 0) > 50 THEN 1 ELSE 0 END AS INTEGER) AS is_influencer,
-       CAST(coalesce(B.friend_cnt, 0) AS BIGINT) AS friends_count, A.review_count, A.useful,
-       CAST(A.yelping_since AS TIMESTAMP) AS yelping_since
-FROM v_user A LEFT JOIN (SELECT user_id, count(DISTINCT friend_id) AS friend_cnt
-                         FROM v_friend GROUP BY user_id) B ON A.user_id = B.user_id"""
+SELECT u.user_id, u.average_stars, CAST(friends_count > 50 AS INTEGER) AS is_influencer, friends_count,
+       u.review_count, u.useful, CAST(u.yelping_since AS TIMESTAMP) AS yelping_since
+FROM (SELECT *, (SELECT count(*) FROM v_friend f WHERE f.user_id = v_user.user_id) AS friends_count
+      FROM v_user) u"""
 
 SQL_DIM_WEATHER = """
-SELECT cast(substr(A.date, 1, 10) AS date) AS date, M.business_id, avg(A.average_temp) AS average_temp,
-       avg(A.prcp) AS prcp, avg(A.long) AS avglong, avg(A.lat) AS avglat, avg(M.dist) AS avgdist
-FROM v_weather A JOIN matched M ON A.station = M.station
+SELECT CAST(left(w.date, 10) AS DATE) AS date, matched.business_id,
+       sum(w.average_temp) / count(w.average_temp) AS average_temp, sum(w.prcp) / count(w.prcp) AS prcp,
+       sum(w.long) / count(w.long) AS avglong, sum(w.lat) / count(w.lat) AS avglat,
+       sum(matched.dist) / count(*) AS avgdist
+FROM matched JOIN v_weather w USING (station)
 GROUP BY 1, 2"""
 
 

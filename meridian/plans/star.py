@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from meridian.functions import date_of_text
 from meridian.operators import allocate_evenly, nearest_k
-from meridian.operators.sizing import fits
 from meridian.schemas import (DIM_BUSINESS_COLS, DIM_USER_COLS, DIM_WEATHER_COLS,
                               FACT_REVIEW_COLS)
 
@@ -45,8 +44,7 @@ def weather_stations(stg_weather: DataFrame) -> DataFrame:
 
 
 def nearest_stations(stg_business: DataFrame, stg_weather: DataFrame, *,
-                     k: int = NEAREST_STATIONS, max_km: float = STATION_MAX_KM,
-                     brute: bool = False) -> DataFrame:
+                     k: int = NEAREST_STATIONS, max_km: float = STATION_MAX_KM) -> DataFrame:
     """For each business, up to ``k`` stations under ``max_km`` (rounded km),
     ranked by (rounded distance, station id).
 
@@ -59,31 +57,20 @@ def nearest_stations(stg_business: DataFrame, stg_weather: DataFrame, *,
         F.col("lat").cast("double").alias("s_lat"))
     return nearest_k(b, s, k=k, max_km=max_km, point_key=["business_id"], site_key="station",
                      point_lat="latitude", point_lon="longitude", site_lat="s_lat",
-                     site_lon="s_long", dist_col="dist", rank_col="rid", brute=brute)
+                     site_lon="s_long", dist_col="dist", rank_col="rid")
 
 
 def dim_weather(stg_business: DataFrame, stg_weather: DataFrame, *,
-                matched: DataFrame | None = None, brute: bool = False,
-                broadcast_max_rows: int = 3_000_000) -> DataFrame:
+                matched: DataFrame | None = None) -> DataFrame:
     """Per business and day: averages of the readings of its nearest stations.
 
     Readings join matched stations on the station id alone, so a station
     listed under several locations counts once per listing (as in the
-    source's model). The matched set has at most k rows per business, so it is
-    broadcast when k x (business count) fits ``broadcast_max_rows``. That bound
-    is proven by a bounded count of the business table, without computing the
-    matched set twice. Beyond it, the join is a shuffle join and AQE may still
-    broadcast on the measured size.
+    source's model). The join is left to the optimizer: AQE measures the matched
+    set (at most k rows per business) and broadcasts it when it is small.
     """
-    if matched is None:
-        m = nearest_stations(stg_business, stg_weather, brute=brute)
-        small = fits(stg_business, broadcast_max_rows // NEAREST_STATIONS)
-    else:
-        m = matched
-        small = fits(m, broadcast_max_rows)
+    m = nearest_stations(stg_business, stg_weather) if matched is None else matched
     m = m.select("business_id", "station", "dist")
-    if small:
-        m = F.broadcast(m)
     w = stg_weather.select(date_of_text("date").alias("date"), "station", "average_temp",
                            "prcp", "long", "lat")
     j = w.join(m, on="station", how="inner")

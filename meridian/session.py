@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -21,7 +20,6 @@ _DEFAULTS = {
     # Only matters when total shuffle data / cores is below 1 MB: keeps small
     # partitioned writes parallel instead of packing them into one task.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }
 
@@ -52,35 +50,27 @@ def get_session(master: str | None = None, app: str = "meridian",
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set runtime SQL defaults on an existing session (e.g. the driver's)."""
-    for k, v in _DEFAULTS.items():
-        if k == "spark.sql.sources.partitionOverwriteMode":
-            continue  # only our writers rely on it and they pass it per write
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # pragma: no cover - immutable on some deployments
-            pass
+    """Set those of our SQL settings that an existing session leaves unset."""
     # Listing many partition directories runs as a Spark job; size it to about
     # two waves of the cluster's cores rather than one task per directory.
     cores = spark.sparkContext.defaultParallelism
-    try:
-        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
-                       str(max(2 * cores, 8)))
-    except Exception:  # pragma: no cover
-        pass
+    listing = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(max(2 * cores, 8))}
+    for k, v in {**_DEFAULTS, **listing}.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create one.
+    Only a local session that names none (tests) gets one here; on a cluster
+    a folder made by the driver would not be shared, so the setting is required.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="meridian-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -89,7 +79,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused directory under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/meridian-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root}/meridian-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system; any other failure raises."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -8,6 +8,7 @@ directory under the shared checkpoint folder, then copied in.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None) -> None:
     """Truncate-and-load (``overwrite``) or ``append``.
 
+    ``overwrite`` always replaces the whole table, whatever overwrite mode
+    the session has set for partitioned tables.
+
     Partitioned writes go through a ``rebalance`` on the partition columns:
     AQE then packs small partitions together and splits a crowded one, so
     each task writes few files and no task holds a hot day alone.
@@ -29,7 +33,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.parquet(path)
 
 
@@ -39,7 +43,7 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ",", header: bool =
     w = (df.write.mode(mode).option("header", header).option("sep", sep)
            .option("quoteAll", quote_all))
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.csv(path)
 
 
@@ -68,20 +72,28 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
 
     Only partitions that the source touches are rebuilt: target rows of
     those partitions without a source key, plus the source rows (one per key).
-    Untouched partitions are never read or written. The target partitions are
-    located with a semi-join on the source's partition values, which Spark
-    turns into partition pruning.
+    Untouched partitions are never read or written: the source is reduced and
+    written once, its partition values (one per touched partition, a bounded
+    list) become a literal filter on the target, and that prunes the scan. The
+    NULL partition counts as touched when the source has rows in it, and its
+    target rows without a source key stay.
     """
-    target = spark.read.parquet(path)
-    cols = target.columns
-    src = dedupe_by_key(source.select(*cols), keys, attrs)
-    touched = src.select(partition_col).distinct()
-    affected = target.join(touched, on=partition_col, how="left_semi")
-    rebuilt = anti_join(affected, src, keys).unionByName(src)
-    staged = materialize(spark, rebuilt, "upsert")
+    cols = spark.read.parquet(path).columns
+    src = materialize(spark, dedupe_by_key(source.select(*cols), keys, attrs), "upsert-source")
+    values = [r[0] for r in src.select(partition_col).distinct().collect()]
+    if not values:
+        return
+    affected = affected_partitions(spark.read.parquet(path), partition_col, values)
+    staged = materialize(spark, anti_join(affected, src, keys).unionByName(src), "upsert")
     overwrite_partitions(staged, path, [partition_col])
 
 
+def affected_partitions(target: DataFrame, partition_col: str, values: Sequence) -> DataFrame:
+    """Rows of ``target`` in the given partitions, as a filter the scan is pruned by."""
+    some = F.col(partition_col).isin([v for v in values if v is not None])
+    return target.where(some | F.col(partition_col).isNull() if None in values else some)
+
+
 def _days(lo: _dt.date, hi: _dt.date) -> list[_dt.date]:
     return [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
 
@@ -110,18 +122,16 @@ def replace_date_range(spark: SparkSession, path: str, new_rows: DataFrame, date
 
 def _empty_partitions(spark: SparkSession, path: str, date_col: str,
                       days: Sequence[_dt.date], columns: Sequence[str]) -> None:
-    table = f"__target_{abs(hash(path)) % 10**8}"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    # every partition column is given, so this replaces just that partition
+    # in either overwrite mode
+    table = f"__target_{uuid.uuid4().hex}"
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
     schema = spark.table(table).schema
     data = [f for f in schema.fields if f.name != date_col]
     sel = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     try:
         for d in days:
             spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{date_col}` = DATE'{d}') "
                       f"SELECT {sel} WHERE false")
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         spark.sql(f"DROP TABLE IF EXISTS {table}")

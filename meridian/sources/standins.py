@@ -1,7 +1,7 @@
 """Stand-in staging tables derived from the driver's TPC-H-style tables.
 
-business = supplier, station = part, weather = station x January-1996 order
-days, review = lineitem joined to its order, check-in = order, user =
+business = supplier, station = part, weather = station x order days (each
+station on every 31st day), review = lineitem joined to its order, check-in = order, user =
 customer, friend edge = customer x distinct part bought. Each builder reads
 only the columns it needs so the parquet scan prunes the rest.
 """
@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+REPORT_EVERY = 31
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -48,28 +51,26 @@ def station(spark, sf_dir) -> DataFrame:
 
 
 def weather_days(spark, sf_dir) -> DataFrame:
+    """Every order day: its date, day of month and running number."""
     o = table(spark, sf_dir, "orders")
-    dt = F.col("o_orderdate").cast("date")
-    return (o.where(dt.between(F.lit("1996-01-01").cast("date"), F.lit("1996-01-31").cast("date")))
-             .select(dt.alias("dt")).distinct()
-             .select("dt", F.dayofmonth("dt").alias("dom")))
+    return (o.select(F.col("o_orderdate").cast("date").alias("dt")).distinct()
+             .select("dt", F.dayofmonth("dt").alias("dom"),
+                     F.datediff("dt", F.lit("1992-01-01").cast("date")).alias("num")))
 
 
 def weather(spark, sf_dir) -> DataFrame:
-    """Station x day readings. The day list (at most 31 values, one month) is
-    attached as a scalar subquery and exploded, so no join is planned."""
-    days = weather_days(spark, sf_dir)
-    day_list = days.agg(F.sort_array(F.collect_list(F.struct("dt", "dom")))).scalar()
-    st = station(spark, sf_dir)
+    """Station x day readings over the whole calendar; a station reports every
+    ``REPORT_EVERY`` days (its turn), so stations and turns are an equi-join."""
+    days = weather_days(spark, sf_dir).withColumn("turn", F.pmod(-F.col("num"), F.lit(REPORT_EVERY)))
+    st = station(spark, sf_dir).withColumn("turn", F.pmod(F.col("p_partkey"), F.lit(REPORT_EVERY)))
     k = F.col("p_partkey")
-    x = st.select("station", "p_partkey", "long", "lat", F.explode(day_list).alias("d"))
-    return x.select(
-        F.concat(_s(F.col("d.dt")), F.lit("T00:00:00")).alias("date"),
+    return st.join(days, "turn").select(
+        F.concat(_s(F.col("dt")), F.lit("T00:00:00")).alias("date"),
         F.concat(F.lit("CITY:"), _s(k % 50)).alias("location_id"),
         F.concat(F.lit("City "), _s(k % 50), F.lit(" US")).alias("city_name"),
-        (((k * 31 + F.col("d.dom") * 17) % 450).cast("double") / 10).alias("average_temp"),
+        (((k * 31 + F.col("dom") * 17) % 450).cast("double") / 10).alias("average_temp"),
         "station", "long", "lat",
-        ((k + F.col("d.dom")) % 5).cast("double").alias("prcp"),
+        ((k + F.col("dom")) % 5).cast("double").alias("prcp"),
     )
 
 
@@ -134,11 +135,3 @@ def staged_user(spark, sf_dir) -> DataFrame:
 
 def staged_checkin(spark, sf_dir) -> DataFrame:
     return checkin(spark, sf_dir).withColumn("date", F.col("date").cast("timestamp_ntz"))
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Expose the stand-ins as temp views v_business … v_friend."""
-    for name, fn in [("v_business", business), ("v_station", station), ("v_weather", weather),
-                     ("v_review", review), ("v_checkin", checkin), ("v_user", user),
-                     ("v_friend", friend)]:
-        fn(spark, sf_dir).createOrReplaceTempView(name)

@@ -3,8 +3,10 @@
 import contextlib
 import datetime as dt
 import io
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from meridian.plans import staging as stg
 from meridian.plans.registry import QUERIES
@@ -70,12 +72,18 @@ def test_lookback_read_prunes_partitions(spark):
 
 
 def test_upsert_reads_only_touched_partitions(spark):
+    from meridian.sources.sinks import affected_partitions, write_parquet
     path = scratch_dir(spark, "t-plan-upsert")
-    w = si.weather(spark, SF_SMALL)
-    from meridian.sources.sinks import write_parquet
+    w = si.weather(spark, SF_SMALL).where("substring(date, 1, 7) = '1996-01'")
     write_parquet(stg.weather_table_rows(w), path, partition_by=[stg.WEATHER_PART])
-    target = spark.read.parquet(path)
-    touched = spark.createDataFrame([(dt.date(1996, 1, 5),)], f"{stg.WEATHER_PART} date")
-    affected = target.join(touched, stg.WEATHER_PART, "left_semi")
-    p = plan(affected)
-    assert "dynamicpruning" in p.lower() or "PartitionFilters: [isnotnull(day_part" in p
+    day = w.agg(F.min(F.substring("date", 1, 10))).first()[0]
+    p = plan(affected_partitions(spark.read.parquet(path), stg.WEATHER_PART, [dt.date.fromisoformat(day)]))
+    assert "PartitionFilters: [isnotnull(day_part" in p and day in p
+    def files():
+        return {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("day_part=")}
+    before = files()
+    landing = w.where(F.substring("date", 1, 10) == day).withColumn("average_temp", F.lit(99.0))
+    stg.upsert_weather(spark, path, spark.createDataFrame(landing.collect(), landing.schema))
+    assert {d for d, f in files().items() if f != before.get(d)} == {f"day_part={day}"}
+    got = spark.read.parquet(path).where(F.col("day_part") == F.lit(day).cast("date"))
+    assert {r.average_temp for r in got.collect()} == {99.0}

@@ -6,7 +6,8 @@ import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from meridian.operators import allocate_evenly, within_radius, within_radius_brute
+from meridian.operators import allocate_evenly, within_radius
+from tests.brute import within_radius_brute
 from tests.conftest import rows
 
 SETTINGS = settings(max_examples=6, deadline=None,

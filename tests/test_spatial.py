@@ -2,8 +2,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from meridian.operators import nearest_k, within_radius, within_radius_brute
+from meridian.operators import nearest_k, within_radius
 from meridian.plans.star import dim_weather, nearest_stations
+from tests.brute import nearest_stations_brute, within_radius_brute
 from tests.conftest import rows
 
 
@@ -32,15 +33,6 @@ def test_grid_equals_brute_force_everywhere(spark):
     assert b.exceptAll(g).count() == 0
 
 
-def test_grid_with_probed_broadcast_matches(spark):
-    left = _points(spark, 100, 3, "a")
-    right = _points(spark, 300, 4, "b")
-    kw = dict(left_lat="a_lat", left_lon="a_lon", right_lat="b_lat", right_lon="b_lon")
-    g = within_radius(left, right, 800.0, broadcast_right_max_rows=10_000, **kw)
-    b = within_radius_brute(left, right, 800.0, **kw)
-    assert rows(g, "a_id", "b_id") == rows(b, "a_id", "b_id")
-
-
 def _business(spark, data):
     return spark.createDataFrame(data, "business_id string, latitude double, longitude double")
 
@@ -74,7 +66,8 @@ def test_grid_and_brute_nearest_agree(spark):
     b = _business(spark, [(f"B{i}", 30 + rnd.random() * 3, -100 + rnd.random() * 3) for i in range(60)])
     w = _weather(spark, [("2021-01-01T00:00:00", "L", "c", 1.0, f"S{i}", -100 + rnd.random() * 3,
                           30 + rnd.random() * 3, 0.0) for i in range(300)])
-    assert rows(nearest_stations(b, w)) == rows(nearest_stations(b, w, brute=True))
+    cols = ("business_id", "latitude", "longitude", "station", "dist", "rid")
+    assert rows(nearest_stations(b, w), *cols) == rows(nearest_stations_brute(b, w), *cols)
 
 
 def test_station_under_two_locations_weighs_double(spark):
@@ -125,6 +118,25 @@ def test_count_within_radius_equals_brute_force(spark):
     assert max(r[1] for r in rows(got)) > 100      # the dense cluster was exercised
 
 
+COLS = ("pid", "plat", "plon", "sid", "dist", "rid")
+
+
+def _brute(pts, sites):
+    b = pts.select(F.col("pid").alias("business_id"), F.col("plat").alias("latitude"), F.col("plon").alias("longitude"))
+    w = sites.select(F.col("sid").alias("station"), F.col("slat").alias("lat"), F.col("slon").alias("long"))
+    return rows(nearest_stations_brute(b, w))
+
+
+def test_far_crowd_and_repeated_point_keep_true_neighbours(spark):
+    # a point listed three times, three stations near it, 400 in one cell far off
+    pts = spark.createDataFrame([("B", 40.0, -74.0)] * 3, "pid string, plat double, plon double")
+    st = [(f"N{i}", 40.0, -74.0 + 0.05 * i) for i in range(1, 4)] + [(f"F{i}", 40.3, -74.3 + i * 1e-6) for i in range(400)]
+    sites = spark.createDataFrame(st, "sid string, slat double, slon double")
+    got = nearest_k(pts, sites, k=3, max_km=50, point_key=["pid"], site_key="sid", point_lat="plat",
+                    point_lon="plon", site_lat="slat", site_lon="slon")
+    assert rows(got, "sid", "rid") == [("N1", 1), ("N2", 2), ("N3", 3)]
+
+
 def test_nearest_with_crowded_cells_equals_brute_force(spark):
     rnd = random.Random(21)
     # a crowded cluster (split into sub-cells at a low threshold), sparse
@@ -140,8 +152,15 @@ def test_nearest_with_crowded_cells_equals_brute_force(spark):
     kw = dict(k=3, max_km=50, point_key=["pid"], site_key="sid", point_lat="plat",
               point_lon="plon", site_lat="slat", site_lon="slon")
     fast = nearest_k(pts, sites, crowded_cell_sites=16, split=8, **kw)
-    assert rows(fast) == rows(nearest_k(pts, sites, brute=True, **kw))
-    assert rows(nearest_k(pts, sites, **kw)) == rows(fast)          # default threshold too
+    assert rows(fast, *COLS) == _brute(pts, sites)
+    assert rows(nearest_k(pts, sites, **kw), *COLS) == _brute(pts, sites)   # default threshold too
+    # repeated points and one key at two places, on both sides of the threshold
+    more = pts.unionByName(pts.limit(40)).unionByName(
+        spark.createDataFrame([("P1", 40.1, -74.1), ("P1", 40.1, -74.1), ("P2", None, 1.0)], pts.schema))
+    for limit in (16, 256):
+        got = nearest_k(more, sites, crowded_cell_sites=limit, **kw)
+        assert rows(got, *COLS) == _brute(more, sites)
+        assert got.groupBy("pid").count().where("count > 3").count() == 0
 
 
 def test_nearest_with_very_dense_point_cluster_uses_deeper_levels(spark):
@@ -153,5 +172,4 @@ def test_nearest_with_very_dense_point_cluster_uses_deeper_levels(spark):
                                  for i in range(80)], "pid string, plat double, plon double")
     kw = dict(k=3, max_km=50, point_key=["pid"], site_key="sid", point_lat="plat",
               point_lon="plon", site_lat="slat", site_lon="slon")
-    assert (rows(nearest_k(pts, sites, crowded_cell_sites=8, split=4, **kw))
-            == rows(nearest_k(pts, sites, brute=True, **kw)))
+    assert rows(nearest_k(pts, sites, crowded_cell_sites=8, split=4, **kw), *COLS) == _brute(pts, sites)
