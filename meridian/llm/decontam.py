@@ -10,8 +10,11 @@
 3. *Candidate search.* Words become chunks of ``CHUNK`` words in latent space (scaled by the
    singular values); running sums give every window of chunks. A window just long enough to
    hold an item at any offset is compared with it by cosine; pairs from ``cosine`` on are candidates.
-4. *Checks.* The longest common subsequence of the item's and the window's words must
-   reach ``lcs`` of the item, and most of the item's rarest words (its answer terms) must occur.
+4. *Checks.* Most of the item's rarest words (its answer terms) must occur in the window, and the
+   longest common subsequence of their words must reach ``lcs`` of the item.
+
+The answer check is pushed below the search: a window with fewer answer terms of any item than the
+least any item needs can't pass, so only the other windows are projected and compared.
 
 All items are compared with all windows, in blocks of items. Defined results: null, empty
 or blank texts and items match nothing; an item of fewer than eight words must occur whole
@@ -35,10 +38,10 @@ from meridian.llm.common import LOWER, NON_WORD, slices, small, text_buffer, wor
 
 TERMS = 1 << 15
 PASSAGE, CHUNK = 32, 8
-SKETCH, RANK = 48, 40
+SKETCH, RANK = 32, 24
 COSINE, LCS = 0.5, 0.6
 #: Terms in more than this share of the passages carry no weight.
-STOP_SHARE = 0.1
+STOP_SHARE = 0.05
 #: Answer terms of an item, and the share of them that must occur.
 ANSWER_TERMS, ANSWER_SHARE = 5, 0.6
 #: Items compared in one pass over the documents; more items take more passes.
@@ -61,13 +64,15 @@ def _starts(first: np.ndarray, size: int) -> np.ndarray:
     return base + (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)) * size
 
 
-def _segments(values: np.ndarray, ids: np.ndarray, starts: np.ndarray, total: int) -> np.ndarray:
-    """Sums of ``values[ids]`` between the starts, a bounded block at a time."""
-    ends = np.append(starts[1:], total)
-    out = np.empty((len(starts), values.shape[1]), np.float32)
-    for i in range(0, len(starts), 4096):
-        s = starts[i:i + 4096]
-        out[i:i + 4096] = np.add.reduceat(values[ids[s[0]:ends[min(i + 4096, len(starts)) - 1]]], s - s[0], axis=0)
+def _segments(values: np.ndarray, ids: np.ndarray, live: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``values[ids]`` over the live words from each start to the next, a bounded block at a time."""
+    out = np.zeros((len(starts), values.shape[1]), np.float32)
+    at = np.append(np.searchsorted(live, starts), len(live))
+    some = np.flatnonzero(at[1:] > at[:-1])
+    for i in range(0, len(some), 2048):
+        s = some[i:i + 2048]
+        lo = at[s[0]]
+        out[s] = np.add.reduceat(values[ids[live[lo:at[s[-1] + 1]]]], at[s] - lo, axis=0)
     return out
 
 
@@ -125,15 +130,17 @@ def _as_blocks(m: np.ndarray) -> dict[int, np.ndarray]:
 def _count_terms(batches):
     df = np.zeros((TERMS + _BLOCK, 1), np.float32)
     exact = np.zeros(TERMS + 1, np.int64)
-    for b in slices(batches, "text"):
+    for b in slices(batches, "text", _BYTES):
         _, ids, first = _terms(b)
         starts = _starts(first, PASSAGE)
         if not len(ids):
             continue
-        passage = np.zeros(len(ids), np.int64)
-        passage[starts[1:]] = 1
-        pair = np.unique(np.cumsum(passage) * TERMS + ids)
-        exact[:TERMS] += np.bincount(pair % TERMS, minlength=TERMS)
+        passage = np.zeros(len(ids), np.uint32 if len(starts) < 1 << 17 else np.uint64)
+        passage[starts[1:]] = TERMS
+        pair = np.sort(np.cumsum(passage, dtype=passage.dtype) + ids)
+        new = np.ones(len(pair), bool)
+        new[1:] = pair[1:] != pair[:-1]
+        exact[:TERMS] += np.bincount((pair[new] & passage.dtype.type(TERMS - 1)).astype(np.int64), minlength=TERMS)
         exact[TERMS] += len(starts)
     df[:TERMS + 1, 0] = exact
     yield from _out(_as_blocks(df), 0)
@@ -156,7 +163,8 @@ def _sketch_sums(idf_b):
             if not len(starts):
                 continue
             w = idf[ids]
-            y = _segments(s, ids, starts, len(ids))
+            live = np.flatnonzero(w)
+            y = _segments(s, ids, live, starts)
             norm = np.sqrt(np.add.reduceat(w * w, starts))
             y /= np.maximum(norm, 1e-6)[:, None]
             z[TERMS:TERMS + SKETCH] += y.T @ y
@@ -164,7 +172,6 @@ def _sketch_sums(idf_b):
             passage = np.zeros(len(ids), np.int64)
             passage[starts[1:]] = 1
             passage = np.cumsum(passage)
-            live = np.flatnonzero(w)
             for i in range(0, len(live), 1 << 17):
                 part = live[i:i + (1 << 17)]
                 part = part[np.argsort(ids[part], kind="stable")]
@@ -238,26 +245,45 @@ def _search(idf_b, proj_b, rows_b, cosine, schema):
         groups = [(int(s), np.flatnonzero(items.span == s)) for s in np.unique(items.span)]
         if not groups:
             return
+        vocab = np.array(sorted({x for a in items.answer for x in a}), np.uint64)
+        maybe = np.zeros(1 << 16, bool)
+        maybe[vocab & np.uint64(0xFFFF)] = True
+        least = {s: min(int(np.ceil(ANSWER_SHARE * len(items.answer[j]) - 1e-9)) for j in which) for s, which in groups}
         for b in slices(batches, "text", _BYTES):
             h, ids, first = _terms(b)
             starts = _starts(first, CHUNK)
             if not len(starts):
                 continue
-            run_sum = np.zeros((len(starts) + 1, RANK), np.float64)
-            np.cumsum(_segments(proj, ids, starts, len(ids)), axis=0, dtype=np.float64, out=run_sum[1:])
+            at = np.flatnonzero(maybe[h & np.uint64(0xFFFF)])
+            at = at[np.isin(h[at], vocab)]
+            hits = np.searchsorted(at, np.append(starts, len(h)))       # answer terms before each chunk
             doc = np.searchsorted(first, starts, "right") - 1
             last = np.searchsorted(starts, first[doc + 1], "left")      # chunks of the document end here
+            stops = {s: np.minimum(np.arange(len(starts)) + s, last) for s, _ in groups}
+            able = {s: np.flatnonzero(hits[stops[s]] - hits[:-1] >= least[s]) for s, _ in groups}
+            used = np.zeros(len(starts) + 1, np.int64)
+            for s, rows in able.items():
+                np.add.at(used, rows, 1)
+                np.add.at(used, stops[s][rows], -1)
+            used = np.cumsum(used[:-1]) > 0
+            if not used.any():
+                continue
+            chunk = np.zeros(len(h), bool)
+            chunk[idf[ids] > 0] = True
+            live = np.flatnonzero(chunk & np.repeat(used, np.diff(np.append(starts, len(h)))))
+            run_sum = np.zeros((len(starts) + 1, RANK), np.float64)
+            np.cumsum(_segments(proj, ids, live, starts), axis=0, dtype=np.float64, out=run_sum[1:])
             best: dict[tuple[int, int], tuple] = {}
             for span, which in groups:
-                stop = np.minimum(np.arange(len(starts)) + span, last)
-                win = (run_sum[stop] - run_sum[:-1]).astype(np.float32)
+                stop, rows = stops[span], able[span]
+                win = (run_sum[stop[rows]] - run_sum[rows]).astype(np.float32)
                 win /= np.maximum(np.sqrt((win * win).sum(1)), 1e-9)[:, None]
                 for i in range(0, len(win), 8192):
                     for k in range(0, len(which), 1024):
                         part = which[k:k + 1024]
                         cos = win[i:i + 8192] @ items.vectors[part].T
                         for c, j in zip(*(x.tolist() for x in np.nonzero(cos >= cosine))):
-                            check(best, items, h, starts, stop, doc, first, i + c, int(part[j]), float(cos[c, j]))
+                            check(best, items, h, starts, stop, doc, first, int(rows[i + c]), int(part[j]), float(cos[c, j]))
             if best:
                 keys = sorted(best)
                 pick = pa.array([k[0] for k in keys])
