@@ -58,8 +58,9 @@ def _trie_pattern(words) -> str:
     return build(tree)
 
 
-_RUN = r"(?<= )(?:" + _trie_pattern(sorted(set(ANCHORS))) + " )+"
-_SPOT = "~(?=([^ ]+" + r" ~?[^ ]+" * (CHAIN - 1) + ") )"
+#: No repeated groups: Java's matcher would recurse once per repetition on a long run of anchors.
+_ANCHOR = r"(?<= )" + _trie_pattern(sorted(set(ANCHORS))) + " "
+_SPOT = "~(?=([^ ~]+" + r" ~*[^ ~]+" * (CHAIN - 1) + ") )"
 _PAIR = "(?<= )(?=([^ ]+ [^ ]+) )"
 
 
@@ -71,7 +72,7 @@ def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with ``out``: the sorted set of spot signatures (array<int>) of a text column."""
     plain, spots = f"{out}__p", f"{out}__s"
     df = df.withColumn(plain, F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+", " ")), F.lit(" ")))
-    df = df.withColumn(spots, F.regexp_extract_all(F.regexp_replace(F.col(plain), _RUN, "~"), F.lit(_SPOT), F.lit(1)))
+    df = df.withColumn(spots, F.regexp_extract_all(F.regexp_replace(F.col(plain), _ANCHOR, "~"), F.lit(_SPOT), F.lit(1)))
     rest = F.when(F.size(spots) > 0, F.col(spots)).otherwise(F.regexp_extract_all(plain, F.lit(_PAIR), F.lit(1)))
     df = df.withColumn(spots, rest)
     alone = F.when(F.trim(F.col(plain)) != "", F.array(F.trim(F.col(plain)))).when(F.length(text) > 0, F.array(F.col(text))).otherwise(F.array().cast("array<string>"))
