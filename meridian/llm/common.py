@@ -3,6 +3,7 @@ checked broadcasts, and vectorised word tables over Arrow text buffers."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 from functools import lru_cache
 
@@ -43,6 +44,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps.
+
+    Its cleaner acts when the driver's JVM collects the plans that refer to them; a job of many
+    written steps would otherwise keep them all until the driver's heap happens to fill.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, est_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint if its checked size is bounded, else as it is (shuffle join)."""
     return F.broadcast(df) if est_bytes <= BROADCAST_BYTES else df
