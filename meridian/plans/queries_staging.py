@@ -249,13 +249,13 @@ def q_replace_date_range(spark, d):
 
 @register("truncate_load_partitioned", with_standins(
     "SELECT date, location_id, city_name, average_temp, station, long, lat, prcp FROM v_weather "
-    "WHERE substr(date, 1, 10) <> '1996-01-16'"))
+    "WHERE substr(date, 1, 7) <> '1996-01'"))
 def q_truncate_load_partitioned(spark, d):
-    """A second load without one day: its partition must be gone afterwards."""
-    p = scratch_dir(spark, "weather-by-day")
+    """A second load without one month: its partition must be gone afterwards."""
+    p = scratch_dir(spark, "weather-by-month")
     w = stg.weather_table_rows(si.weather(spark, d))
     write_parquet(w, p, partition_by=[stg.WEATHER_PART])
-    write_parquet(w.where(F.substring("date", 1, 10) != "1996-01-16"), p, partition_by=[stg.WEATHER_PART])
+    write_parquet(w.where(F.substring("date", 1, 7) != "1996-01"), p, partition_by=[stg.WEATHER_PART])
     return stg.read_weather_table(spark, p)
 
 
