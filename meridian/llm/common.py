@@ -41,6 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -39,7 +39,7 @@ from meridian.llm.common import LOWER, NON_WORD, slices, small, text_buffer, wor
 TERMS = 1 << 15
 PASSAGE, CHUNK = 32, 8
 SKETCH, RANK = 32, 24
-COSINE, LCS = 0.5, 0.6
+COSINE, LCS = 0.35, 0.6
 #: Terms in more than this share of the passages carry no weight.
 STOP_SHARE = 0.05
 #: Answer terms of an item, and the share of them that must occur.
