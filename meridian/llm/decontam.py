@@ -16,6 +16,10 @@
 The answer check is pushed below the search: a window with fewer answer terms of any item than the
 least any item needs can't pass, so only the other windows are projected and compared.
 
+Words in more than ``STOP_SHARE`` of the passages carry no weight, unless an item uses them. An item
+whose vector is so small that the words around a copy could hide it skips the cosine: all
+windows that hold enough of its answer terms go to the subsequence check.
+
 All items are compared with all windows, in blocks of items. Defined results: null, empty
 or blank texts and items match nothing; an item of fewer than eight words must occur whole
 (in order); of a document's several places of one item the best is returned (ties: the first);
@@ -38,10 +42,12 @@ from meridian.llm.common import LOWER, NON_WORD, slices, small, text_buffer, wor
 
 TERMS = 1 << 15
 PASSAGE, CHUNK = 32, 8
-SKETCH, RANK = 32, 24
+SKETCH, RANK = 48, 40
 COSINE, LCS = 0.35, 0.6
-#: Terms in more than this share of the passages carry no weight.
-STOP_SHARE = 0.05
+#: Terms in more than this share of the passages carry no weight, unless an item uses them.
+STOP_SHARE = 0.1
+#: Least weight of an item's term; cosine with a copy among average words from which an item is searched by it.
+IDF_FLOOR, CLEAR = 0.1, 0.8
 #: Answer terms of an item, and the share of them that must occur.
 ANSWER_TERMS, ANSWER_SHARE = 5, 0.6
 #: Items compared in one pass over the documents; more items take more passes.
@@ -146,10 +152,12 @@ def _count_terms(batches):
     yield from _out(_as_blocks(df), 0)
 
 
-def _idf(counts: np.ndarray) -> np.ndarray:
+def _idf(counts: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Weights of the terms; ``own`` marks those of the items."""
     df, n = counts[:TERMS, 0], counts[TERMS, 0]
     idf = np.where(df > 0, np.log((n + 1) / (df + 1)) + 1e-3, 0)
-    return np.where(df > max(STOP_SHARE * n, 10), 0, idf).astype(np.float32)
+    often = df > max(STOP_SHARE * n, 10)
+    return np.where(often, np.where(own, np.maximum(idf, IDF_FLOOR), 0), idf).astype(np.float32)
 
 
 def _sketch_sums(idf_b):
@@ -183,10 +191,12 @@ def _sketch_sums(idf_b):
     return run
 
 
-def latent_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(idf, projection): weights of the terms, and the terms x RANK map into latent space."""
+def latent_space(docs: DataFrame, items: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
+    """(idf, projection, clear): weights of the terms, the terms x RANK map into latent space,
+    and the length from which an item's vector stands out among the words beside a copy."""
     sc = docs.sparkSession.sparkContext
-    idf = _idf(_summed(docs.mapInArrow(_count_terms, _DDL), 1))
+    counts = _summed(docs.mapInArrow(_count_terms, _DDL), 1)
+    idf = _idf(counts, _summed(items.mapInArrow(_count_terms, _DDL), 1)[:TERMS, 0] > 0)
     sums = _summed(docs.mapInArrow(_sketch_sums(sc.broadcast(idf)), _DDL), SKETCH)
     g, z = sums[TERMS:TERMS + SKETCH], sums[:TERMS]
     scale = max(float(np.trace(g)) / SKETCH, 1e-12)
@@ -195,13 +205,19 @@ def latent_space(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     val, vec = np.linalg.eigh(b.T @ b)
     val, vec = np.maximum(val[::-1][:RANK], 1e-12), vec[:, ::-1][:, :RANK]
     v = b @ (vec / np.sqrt(val))                                 # right singular vectors
-    return idf, (idf[:, None] * v / np.sqrt(val / val[0])).astype(np.float32)
+    projection = (idf[:, None] * v / np.sqrt(val / val[0])).astype(np.float32)
+    # squared length of the sum of the words beside a copy, drawn as they occur
+    share = counts[:TERMS, 0] / max(counts[:TERMS, 0].sum(), 1)
+    beside = 2 * (CHUNK - 1)
+    noise = beside * float(share @ (projection.astype(np.float64) ** 2).sum(1)) + beside * (beside - 1) * float(((share @ projection) ** 2).sum())
+    return idf, projection, float(CLEAR * np.sqrt(noise / (1 - CLEAR ** 2)))
 
 
 class _Items:
     """The items of one block, with their window sizes and checks."""
 
-    def __init__(self, rows, idf, projection):
+    def __init__(self, rows, idf, projection, clear):
+        self.weak: list[bool] = []
         self.ids, self.words, self.need, self.masks, self.answer, vectors, self.span = [], [], [], [], [], [], []
         for item, text in rows:
             buf = np.frombuffer((text or "").encode(), np.uint8)
@@ -221,8 +237,10 @@ class _Items:
             self.masks.append(mask)
             self.answer.append(frozenset(rare))
             vectors.append(v / norm if norm > 0 else v)
+            self.weak.append(not norm > clear)
             self.span.append(-(-(len(h) - 1) // CHUNK) + 1)
-        self.span = np.array(self.span, np.int64)
+        self.span, self.weak = np.array(self.span, np.int64), np.array(self.weak, bool)
+        self.least = [int(np.ceil(ANSWER_SHARE * len(a) - 1e-9)) for a in self.answer]
         self.vectors = np.array(vectors, np.float32).reshape(-1, RANK)
 
 
@@ -238,17 +256,19 @@ def lcs_length(mask: dict[int, int], n: int, words: list[int]) -> int:
     return n - v.bit_count()
 
 
-def _search(idf_b, proj_b, rows_b, cosine, schema):
+def _search(idf_b, proj_b, rows_b, clear, cosine, schema):
     def run(batches):
         idf, proj = idf_b.value, proj_b.value
-        items = _Items(rows_b.value, idf, proj)
+        items = _Items(rows_b.value, idf, proj, clear)
         groups = [(int(s), np.flatnonzero(items.span == s)) for s in np.unique(items.span)]
         if not groups:
             return
         vocab = np.array(sorted({x for a in items.answer for x in a}), np.uint64)
         maybe = np.zeros(1 << 16, bool)
         maybe[vocab & np.uint64(0xFFFF)] = True
-        least = {s: min(int(np.ceil(ANSWER_SHARE * len(items.answer[j]) - 1e-9)) for j in which) for s, which in groups}
+        least = {s: min(items.least[j] for j in which) for s, which in groups}
+        pairs = sorted((x, j) for j in np.flatnonzero(items.weak).tolist() for x in items.answer[j])
+        weak_word, weak_item = np.array([x for x, _ in pairs], np.uint64), np.array([j for _, j in pairs], np.int64)
         for b in slices(batches, "text", _BYTES):
             h, ids, first = _terms(b)
             starts = _starts(first, CHUNK)
@@ -274,10 +294,20 @@ def _search(idf_b, proj_b, rows_b, cosine, schema):
             run_sum = np.zeros((len(starts) + 1, RANK), np.float64)
             np.cumsum(_segments(proj, ids, live, starts), axis=0, dtype=np.float64, out=run_sum[1:])
             best: dict[tuple[int, int], tuple] = {}
+            direct = weak_hits(weak_word, weak_item, h[at], np.searchsorted(starts, at, "right") - 1)
             for span, which in groups:
                 stop, rows = stops[span], able[span]
                 win = (run_sum[stop[rows]] - run_sum[rows]).astype(np.float32)
                 win /= np.maximum(np.sqrt((win * win).sum(1)), 1e-9)[:, None]
+                for j in which[items.weak[which]].tolist():
+                    if j not in direct:
+                        continue
+                    c = direct[j]                              # chunks of the item's answer terms
+                    near = np.unique(np.maximum(np.unique(c)[:, None] - np.arange(span), 0))
+                    near = near[np.searchsorted(c, stop[near]) - np.searchsorted(c, near) >= items.least[j]]
+                    for c, k in zip(near.tolist(), np.searchsorted(rows, near).tolist()):
+                        check(best, items, h, starts, stop, doc, first, c, j, float(win[k] @ items.vectors[j]))
+                which = which[~items.weak[which]]
                 for i in range(0, len(win), 8192):
                     for k in range(0, len(which), 1024):
                         part = which[k:k + 1024]
@@ -293,6 +323,18 @@ def _search(idf_b, proj_b, rows_b, cosine, schema):
                      pa.array([v[2] for v in vals], pa.float64()), pa.array([v[0] for v in vals], pa.float64()),
                      pa.array([-v[1] for v in vals], pa.int64()), pa.array([v[3] for v in vals], pa.int64())], schema=schema)
 
+    def weak_hits(word, item, found, chunk):
+        """Chunks, in order, that hold an answer term, for each of the weak items."""
+        lo, hi = np.searchsorted(word, found, "left"), np.searchsorted(word, found, "right")
+        n = hi - lo
+        if not n.any():
+            return {}
+        of = item[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        order = np.argsort(of, kind="stable")
+        of, chunk = of[order], np.repeat(chunk, n)[order]
+        cut = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
+        return {int(of[a]): chunk[a:z] for a, z in zip(cut[:-1], cut[1:])}
+
     def check(best, items, h, starts, stop, doc, first, c, j, cos):
         lo = int(starts[c])
         hi = int(starts[stop[c]]) if stop[c] < len(starts) else int(first[-1])
@@ -319,14 +361,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     sch = pa.schema([("id", to_arrow_type(src.schema["id"].dataType)), ("item", to_arrow_type(items.schema["item"].dataType)),
                      ("cosine", pa.float64()), ("lcs", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64())])
     ddl = f"id {src.schema['id'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, cosine double, lcs double, first_word long, end_word long"
-    idf, proj = latent_space(src.select("text"))
+    idf, proj, clear = latent_space(src.select("text"), items.select("text"))
     idf_b, proj_b = sc.broadcast(idf), sc.broadcast(proj)
     blocks = -(-items.agg(F.count("*").alias("n")).first()["n"] // ITEM_BLOCK)
     found = None
     for i in range(max(1, blocks)):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(max(1, blocks))) == i)
         rows_b = sc.broadcast(sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")))
-        one = src.mapInArrow(_search(idf_b, proj_b, rows_b, cosine, sch), ddl)
+        one = src.mapInArrow(_search(idf_b, proj_b, rows_b, clear, cosine, sch), ddl)
         found = one if found is None else found.unionByName(one)
     return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "cosine", "lcs", "first_word", "end_word")
 

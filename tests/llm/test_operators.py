@@ -275,6 +275,22 @@ def test_leaks_are_found_and_clean_documents_left(spark, odd):
     assert decontam.find_leaks(odd, items).count() == 0 and decontam.find_leaks(odd.limit(0), items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("every", [12, 4, 1])
+def test_items_of_frequent_words_are_found(spark, every):
+    """An item that stands in a large share of the passages is found wherever it stands."""
+    rnd = random.Random(every)
+    item = "please rate the answer on a scale from one to ten before you move over again"
+    rows = []
+    for i in range(240):
+        words = [f"u{rnd.randrange(4000)}" for _ in range(rnd.randint(30, 60))]
+        at = rnd.randint(0, len(words))
+        rows.append((i, " ".join(words[:at] + (item.split() if i % every == 0 else []) + words[at:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, item), (8, " ".join(f"z{i}" for i in range(20)))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(docs, items).collect()}
+    assert got == {(i, 7) for i in range(0, 240, every)}
+
+
 # --- 5: main text ----------------------------------------------------------------------------
 
 def test_main_text_of_the_pages(spark):
