@@ -319,7 +319,7 @@ def _search(idf_b, proj_b, rows_b, clear, cosine, schema):
                 pick = pa.array([k[0] for k in keys])
                 vals = [best[k] for k in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(pick), pa.array([items.ids[k[1]] for k in keys], schema.field("item").type),
+                    [b.column("id").take(pick), b.column("th").take(pick), pa.array([items.ids[k[1]] for k in keys], schema.field("item").type),
                      pa.array([v[2] for v in vals], pa.float64()), pa.array([v[0] for v in vals], pa.float64()),
                      pa.array([-v[1] for v in vals], pa.int64()), pa.array([v[3] for v in vals], pa.int64())], schema=schema)
 
@@ -352,15 +352,15 @@ def _search(idf_b, proj_b, rows_b, clear, cosine, schema):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-               item_text: str = "text", *, cosine: float = COSINE) -> DataFrame:
-    """(id, item, cosine, lcs, first_word, end_word): documents that hold a benchmark item."""
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, cosine: float) -> DataFrame:
+    """(id, th, item, cosine, lcs, first_word, end_word); ``th`` is the hash of the document's text."""
     sc = docs.sparkSession.sparkContext
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("text"))
-    sch = pa.schema([("id", to_arrow_type(src.schema["id"].dataType)), ("item", to_arrow_type(items.schema["item"].dataType)),
+    sch = pa.schema([("id", to_arrow_type(src.schema["id"].dataType)), ("th", pa.int64()), ("item", to_arrow_type(items.schema["item"].dataType)),
                      ("cosine", pa.float64()), ("lcs", pa.float64()), ("first_word", pa.int64()), ("end_word", pa.int64())])
-    ddl = f"id {src.schema['id'].dataType.simpleString()}, item {items.schema['item'].dataType.simpleString()}, cosine double, lcs double, first_word long, end_word long"
+    ddl = f"id {src.schema['id'].dataType.simpleString()}, th long, item {items.schema['item'].dataType.simpleString()}, cosine double, lcs double, first_word long, end_word long"
     idf, proj, clear = latent_space(src.select("text"), items.select("text"))
     idf_b, proj_b = sc.broadcast(idf), sc.broadcast(proj)
     blocks = -(-items.agg(F.count("*").alias("n")).first()["n"] // ITEM_BLOCK)
@@ -370,11 +370,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         rows_b = sc.broadcast(sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")))
         one = src.mapInArrow(_search(idf_b, proj_b, rows_b, clear, cosine, sch), ddl)
         found = one if found is None else found.unionByName(one)
-    return found.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "cosine", "lcs", "first_word", "end_word")
+    return found
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+               item_text: str = "text", *, cosine: float = COSINE) -> DataFrame:
+    """(id, item, cosine, lcs, first_word, end_word): documents that hold a benchmark item."""
+    return (_leaks(docs, benchmark, id_col, text_col, item_col, item_text, cosine)
+            .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "cosine", "lcs", "first_word", "end_word"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
-    bad = written(find_leaks(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__bad")).distinct(), "leaks")
+    """``docs`` without the rows that hold a benchmark item; other rows of the same id, or without one, stay."""
+    bad = written(_leaks(docs, benchmark, id_col, text_col, "item_id", "text", COSINE)
+                  .select(F.col("id").alias("__bad"), F.col("th").alias("__th")).distinct(), "leaks")
     n = bad.agg(F.count("*").alias("n")).first()["n"]
-    return docs.join(small(bad, 24 * n), F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    return docs.join(small(bad, 32 * n), F.col(id_col).eqNullSafe(F.col("__bad"))
+                     & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("__th")), "left_anti")

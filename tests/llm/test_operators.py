@@ -291,6 +291,17 @@ def test_items_of_frequent_words_are_found(spark, every):
     assert got == {(i, 7) for i in range(0, 240, every)}
 
 
+def test_only_the_leaking_rows_of_an_id_go(spark):
+    """Rows without an id, and rows that share a leaking row's id, are judged by their own text."""
+    item = " ".join(f"item{i}" for i in range(20))
+    clean = [" ".join(f"c{k}x{i}" for i in range(40)) for k in range(3)]
+    rows = [(None, f"{clean[0]} {item}"), (None, clean[1]), (None, None), (5, f"{item} {clean[2]}"), (5, clean[2]), (5, clean[2])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = Counter(tuple(r) for r in decontam.drop_leaks(df, items).collect())
+    assert left == Counter([(None, clean[1]), (None, None), (5, clean[2]), (5, clean[2])])
+
+
 # --- 5: main text ----------------------------------------------------------------------------
 
 def test_main_text_of_the_pages(spark):
