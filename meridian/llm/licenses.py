@@ -1,7 +1,8 @@
 """License scan by patience alignment against license texts and notices.
 
-Words are lower-cased runs of letters and digits. Where a text holds telling words of a template, the
-window around them is aligned with the template: words that are unique in both anchor the
+Words are lower-cased runs of letters and digits. A match of a template may lack a bounded number of its
+words, so of one place more than that at least one is kept. The places whose words are rarest in the
+text are taken, and the window around every occurrence is aligned with the template: words that are unique in both anchor the
 alignment, the longest increasing subsequence of anchors is kept, and the gaps between
 them are aligned in the same way; a gap without anchors is matched from both ends. A template is
 found when the aligned words cover enough of it and of the span they take in the text (a short
@@ -48,6 +49,15 @@ TEMPLATES = (
             "following conditions are met"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("LGPL-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1"),
+    ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
+    ("GPL-2.0", "licensed under the GNU General Public License, version 2"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0"),
+    ("MPL-2.0", "licensed under the Mozilla Public License, version 2.0"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("All-Rights-Reserved", "All rights reserved"),
@@ -57,7 +67,6 @@ COMMON = frozenset("a all and any at by for free in is it of or that the this to
 #: Templates under this many words must stand word for word.
 SHORT_WORDS = 12
 COVERAGE = DENSITY = 0.8
-PIVOTS = 3
 _BITS = 16
 
 
@@ -110,23 +119,30 @@ class _Template:
         start, end, h, _ = word_table(buf, np.array([0, len(buf)]), NON_WORD, LOWER)
         words = [buf[a:z].tobytes().decode().lower() for a, z in zip(start, end)]
         self.name, self.words, self.n = name, h.tolist(), len(h)
-        self.telling = {x: words.index(w) for x, w in zip(self.words, words) if w not in COMMON}
         self.short = self.n < SHORT_WORDS
         self.slack = 0 if self.short else self.n // 4
+        #: Words that a match may lack.
+        self.lack = 0 if self.short else self.n - int(np.ceil(COVERAGE * self.n - 1e-9))
+        self.places = [(x, i) for i, (x, w) in enumerate(zip(self.words, words)) if w not in COMMON]
+        if len(self.places) <= self.lack or not self.places:
+            self.places = [(x, i) for i, x in enumerate(self.words)]
+        self.telling = frozenset(x for x, _ in self.places)
+        self.least = max(1, len(self.telling) - self.lack)
 
 
 def _find(words: list[int], where: dict[int, list[int]], t: _Template) -> list[tuple[int, int, float]]:
     """Spans (first word, end word, coverage) of one template in one text."""
-    have = [x for x in t.telling if x in where]
-    if len(have) < len(t.telling) * (1 if t.short else 0.6):
+    if len(t.telling & where.keys()) < t.least:
         return []
     windows = set()
-    for x in sorted(have, key=lambda x: (len(where[x]), t.telling[x]))[:1 if t.short else PIVOTS]:
-        for p in where[x]:
-            lo = max(0, p - t.telling[x] - t.slack)
+    for x, i in sorted(t.places, key=lambda x: (len(where.get(x[0], ())), x[1]))[:t.lack + 1]:
+        for p in where.get(x, ()):
+            lo = max(0, p - i - t.slack)
             windows.add((lo, min(len(words), lo + t.n + 2 * t.slack)))
     out = []
     for lo, hi in sorted(windows):
+        if len(t.telling.intersection(words[lo:hi])) < t.least:
+            continue
         got = patience_align(words[lo:hi], t.words)
         if not got:
             continue
@@ -170,7 +186,7 @@ def _scan(templates, schema):
                 where: dict[int, list[int]] = {}
                 for p, x in zip((at[i:j] - lo).tolist(), h[at[i:j]].tolist()):
                     where.setdefault(x, []).append(p)
-                if any(len(t.telling.keys() & where.keys()) >= len(t.telling) * (1 if t.short else 0.6) for t in made):
+                if any(len(t.telling & where.keys()) >= t.least for t in made):
                     out[d] = [{"license": n, "first_word": a, "end_word": z, "coverage": c}
                               for a, z, n, c in scan_words(h[lo:int(first[d + 1])].tolist(), where, made)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.list_(_MATCH))], schema=schema)

@@ -236,6 +236,32 @@ def test_license_scan(spark, odd):
     assert licenses.find_licenses(odd).count() == odd.count()
 
 
+def scanned(text):
+    import numpy as np
+    from meridian.llm.common import LOWER, NON_WORD, word_table
+    made = [licenses._Template(*t) for t in licenses.TEMPLATES]
+    buf = np.frombuffer(text.encode(), np.uint8)
+    words = word_table(buf, np.array([0, len(buf)]), NON_WORD, LOWER)[2].tolist()
+    where = defaultdict(list)
+    for i, x in enumerate(words):
+        if any(x in t.telling for t in made):
+            where[x].append(i)
+    return [(n, a) for a, _, n, _ in licenses.scan_words(words, where, made)]
+
+
+def test_a_copy_without_the_rarest_words_is_found():
+    """Words that an edited copy lacks are the rarest of a text with a clean copy too."""
+    mit, gap = licenses.TEMPLATES[2][1], " ".join(f"x{i}" for i in range(100))
+    words = re.findall(r"[A-Za-z]+", mit)
+    for gone in (("charge", "merge", "sell"), ("granted", "documentation", "sublicense", "furnished", "conditions"), ("deal", "obtaining", "publish")):
+        edited = " ".join("qq" if w in gone else w for w in words)
+        other = " ".join("qq" if w in ("hereby", "files", "restriction") else w for w in words)
+        for text in (f"{mit} {gap} {edited}", f"{edited} {gap} {mit}", f"{edited} {gap} {other}", f"{edited} {gap} {' '.join(gone)}"):
+            second = [] if text.endswith(" ".join(gone)) else [("MIT", len(words) + 100)]
+            assert scanned(text) == [("MIT", 0), *second]
+    assert scanned("Licensed under CC BY-SA 4.0") == [("CC-BY-SA-4.0", 0)]
+
+
 def test_patience_alignment_is_a_common_subsequence():
     rnd = random.Random(2)
     for _ in range(300):
