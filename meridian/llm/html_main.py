@@ -144,6 +144,8 @@ def read_blocks(page: str) -> list[_Block]:
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
+                    if any(x[0] not in BLOCK_TAGS for x in stack[i:]):     # text of an inline element with a mark
+                        close()
                     del stack[i:]
                     break
         elif tag not in VOID_TAGS and not attrs.endswith("/"):
@@ -153,7 +155,7 @@ def read_blocks(page: str) -> list[_Block]:
             elif tag in HEADINGS:
                 heading, own = True, bad
             elif tag in BLOCK_TAGS or bad or main:
-                if bad and tag not in BLOCK_TAGS:
+                if tag not in BLOCK_TAGS:
                     close()
                 stack.append((tag, bad, main))
     close()

@@ -338,6 +338,15 @@ def test_main_text_of_the_pages(spark):
         assert html_main.main_text(r["html"]) == " ".join(x for x in want if x)
 
 
+def test_inline_boilerplate_goes():
+    long = "The fox is a friend of the dog and it was with us for a long time in the garden; we were happy to see that they play."
+    for bad in ("<button>Share</button>", "<label>Share</label>", "<span class=ad>Share</span>", "<a class='share' href=x>Share</a>",
+                "<span hidden>Share</span>", "<b class=sponsored><i>Share</i></b>"):
+        for page in (f"<article><p>{long}</p>{bad}<p>{long}</article>", f"<article><p>{long} {bad} {long}</article>",
+                     f"<p>{long}</p>{bad}<p>{long}</p>", f"<p>{long} {bad} {long}"):
+            assert html_main.main_text(page) == f"{long} {long}", page
+
+
 def test_main_text_edge_cases(spark):
     long = "The fox is a friend of the dog and it was with us for a long time in the garden; we were happy to see that they play. " * 3
     page = (f"<header><h1>Site</h1></header><div class='cookie-notice'>{long}</div><h2>A title</h2><p>{long}<p>Short one."
