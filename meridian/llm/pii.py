@@ -3,7 +3,8 @@
 Base spans (email, ip, card, phone) come from fixed patterns; they are the seeds. The words
 around a seed are lexical patterns (two words before; word before and word after). All
 other identifier-like tokens (six or more characters with three or more digits, or with an
-``@``) are candidate instances of the same patterns. Spark scores the pattern-instance
+``@``), and runs of neighbouring numbers (with spaces, dots, hyphens and brackets) as a whole, are
+candidate instances of the same patterns; the words of a run give way to the run if it is accepted. Spark scores the pattern-instance
 graph in rounds: a pattern's confidence for a kind is the share of its instances that are
 known to be of that kind (smoothed), an instance's is the noisy-or of its good patterns;
 instances above ``accept`` join the seeds of the next round. In the end, candidates that are
@@ -44,6 +45,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _SIGN = re.compile(r"[0-9@]")
+_RUN = re.compile(r"[0-9](?:(?:\)[.-]|\x20?[()-]\x20?|\)\x20\(|[.\x20]|\x20\x20)?[0-9])++")
 _EDGE = "\"'()[]{}<>,;:!?.%$#*&="
 
 
@@ -104,9 +106,38 @@ def _patterns(t, start, end):
     return out
 
 
+def _runs(t, taken):
+    """(start, end) of neighbouring numbers of more than one token between the base spans."""
+    pos = 0
+    for lo, hi in [*taken, (len(t), len(t))]:
+        for m in _RUN.finditer(t, pos, max(pos, lo)):
+            a, z = m.span()
+            if a and not (t[a - 1].isspace() or t[a - 1] in _EDGE or t[a - 1] in "+-"):     # glued to a word
+                a = next((i + 1 for i in range(a, z) if t[i] == " "), z)
+            if z < len(t) and not (t[z].isspace() or t[z] in _EDGE or t[z] == "-"):
+                z = next((i for i in range(z - 1, a, -1) if t[i] == " "), a)
+            while a < z and not "0" <= t[a] <= "9":
+                a += 1
+            while z > a and not "0" <= t[z - 1] <= "9":
+                z -= 1
+            x = t[a:z]
+            if len(x) < 6 or " " not in x or sum("0" <= c <= "9" for c in x) < 3:
+                continue
+            if x.count(")") > x.count("(") and a > pos and t[a - 1] == "(":
+                a -= 1
+            if a > pos and t[a - 1] == "+":
+                a -= 1
+            yield a, z
+        pos = max(pos, hi)
+
+
 def _candidates(t, spans):
-    """Identifier-like tokens outside the base spans."""
+    """(start, end, text, start of the run or else its own) of identifier-like tokens and runs outside the base spans."""
     pos, n, taken = 0, len(t), sorted((a, z) for a, _, z in spans)
+    runs = list(_runs(t, taken))
+    for a, z in runs:
+        yield a, z, t[a:z], a
+    at = 0
     while (m := _SIGN.search(t, pos)) is not None:
         a = z = m.start()
         while a > pos and not t[a - 1].isspace():
@@ -120,12 +151,14 @@ def _candidates(t, spans):
             z -= 1
         token = t[a:z]
         if len(token) >= 6 and ("@" in token or sum("0" <= c <= "9" for c in token) >= 3) and not any(x < z and a < y for x, y in taken):
-            yield a, z, token
+            while at < len(runs) and runs[at][1] <= a:
+                at += 1
+            yield a, z, token, runs[at][0] if at < len(runs) and runs[at][0] < z else a
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("end", pa.int32())])
 _SEED = pa.struct([("rank", pa.int32()), ("inst", pa.int64()), ("pats", pa.list_(pa.int64()))])
-_CAND = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("inst", pa.int64()), ("pats", pa.list_(pa.int64()))])
+_CAND = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("run", pa.int32()), ("inst", pa.int64()), ("pats", pa.list_(pa.int64()))])
 
 
 def _scan(schema):
@@ -141,7 +174,7 @@ def _scan(schema):
                 found = base_spans(t)
                 base.append([{"start": a, "rank": k, "end": z} for a, k, z in found])
                 seeds.append([{"rank": k, "inst": _h(t[a:z]), "pats": _patterns(t, a, z)} for a, k, z in found])
-                cands.append([{"start": a, "end": z, "inst": _h(x), "pats": _patterns(t, a, z)} for a, z, x in _candidates(t, found)])
+                cands.append([{"start": a, "end": z, "run": r, "inst": _h(x), "pats": _patterns(t, a, z)} for a, z, x, r in _candidates(t, found)])
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("th"), pa.array(base, pa.list_(_SPAN)), pa.array(seeds, pa.list_(_SEED)), pa.array(cands, pa.list_(_CAND))],
                 schema=schema)
@@ -156,7 +189,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     sch = pa.schema([("id", to_arrow_type(kind)), ("th", pa.int64()), ("base", pa.list_(_SPAN)), ("seeds", pa.list_(_SEED)), ("cands", pa.list_(_CAND))])
     return written(src.mapInArrow(_scan(sch), f"id {kind.simpleString()}, th long, "
                    "base array<struct<start:int,rank:int,end:int>>, seeds array<struct<rank:int,inst:long,pats:array<long>>>, "
-                   "cands array<struct<start:int,end:int,inst:long,pats:array<long>>>"), "pii-scan")
+                   "cands array<struct<start:int,end:int,run:int,inst:long,pats:array<long>>>"), "pii-scan")
 
 
 def score(scanned: DataFrame, *, rounds: int = ROUNDS, good: float = GOOD_PATTERN, accept: float = ACCEPT) -> DataFrame:
@@ -184,10 +217,14 @@ def score(scanned: DataFrame, *, rounds: int = ROUNDS, good: float = GOOD_PATTER
 
 
 def added_spans(scanned: DataFrame, accepted: DataFrame) -> DataFrame:
-    """(id, th, added): spans of accepted candidates, one row per distinct (id, text)."""
-    one = scanned.select("id", "th", F.explode("cands").alias("c")).select("id", "th", "c.start", "c.end", "c.inst")
-    return (one.join(accepted, "inst")
-            .select("id", "th", F.struct("start", (F.col("rank") + len(KINDS)).alias("rank"), "end").alias("s"))
+    """(id, th, added): spans of accepted candidates, one row per distinct (id, text). An accepted run replaces its tokens."""
+    one = scanned.select("id", "th", F.explode("cands").alias("c")).select("id", "th", "c.start", "c.end", "c.run", "c.inst")
+    spans = F.array_sort(F.collect_set(F.struct("start", (F.col("rank") + len(KINDS)).alias("rank"), "end")))
+    widest = F.aggregate("s", F.lit(0), lambda z, x: F.greatest(z, x["end"]))
+    kept = F.filter("s", lambda x: (x["end"] == F.col("last")) & (x["start"] == F.col("run")))
+    return (one.join(accepted, "inst").groupBy("id", "th", "run").agg(spans.alias("s")).withColumn("last", widest)
+            .withColumn("s", F.when(F.size(kept) > 0, kept).otherwise(F.col("s")))
+            .select("id", "th", F.explode("s").alias("s"))
             .groupBy("id", "th").agg(F.collect_set("s").alias("added")))
 
 

@@ -178,6 +178,22 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert out[100] == "please call office line [PHONE] today" and out[0] == "please call office line [PHONE] today"
 
 
+def test_contexts_discover_numbers_written_with_spaces(spark):
+    rows = [(i, f"please call office line +1 (555) 010-{1000 + i} today") for i in range(30)]
+    rows += [(100, "please call office line 555 020 7777 today"), (101, "please call office line (555) 123-4567 today"),
+             (102, "please call office line 555 - 020 - 7777 today"), (103, "rows 555 020 8888 of the table"),
+             (104, "in 2019. please call office line 20 7946 0958, today"), (105, "please call office line 555 020 4444 x9 today")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.digest(pii.find_private(df)).collect()}
+    assert got[100] == "ctx_phone:24:36" and got[101] == "ctx_phone:24:38" and got[102] == "ctx_phone:24:40" and got[103] == ""
+    out = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert {out[i] for i in (100, 101, 102)} == {"please call office line [PHONE] today"}
+    assert out[104] == "in 2019. please call office line [PHONE], today" and out[105] == "please call office line [PHONE] x9 today"
+    assert out[103] == rows[33][1]
+    cands = [t for _, _, t, _ in pii._candidates("a1 555 020 7777, AB12345678 id 12 345 678 90x", [])]
+    assert cands == ["555 020 7777", "12 345 678", "AB12345678"]
+
+
 # --- 2: language -----------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark, odd):
