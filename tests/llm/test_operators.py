@@ -96,6 +96,27 @@ def test_border_elements_of_range_partitions_join(spark, monkeypatch):
     assert got == brute_components([tuple(r) for r in df.collect()])
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 5])
+def test_shared_elements_do_not_depend_on_batch_borders(monkeypatch, size):
+    """Repeated (h, key) rows at the border of two batches leave every row with its own element."""
+    import pyarrow as pa
+
+    class Task:
+        def partitionId(self):
+            return 0
+    monkeypatch.setattr(ngram_join, "TaskContext", type("Context", (), {"get": staticmethod(Task)}))
+    rnd = random.Random(size)
+    for _ in range(60):
+        rows = sorted((rnd.randrange(6), rnd.randrange(4)) for _ in range(rnd.randint(1, 40)))
+
+        def found(step):
+            parts = [rows[i:i + step] for i in range(0, len(rows), step)]
+            batches = [pa.RecordBatch.from_arrays([pa.array([x[c] for x in p], pa.int64()) for c in (0, 1)], ["h", "key"]) for p in parts]
+            return sorted(tuple(r.values()) for b in ngram_join._scan_shared(batches) for r in b.to_pylist())
+        want = found(len(rows))
+        assert {(h, k) for h, k, *_ in want} <= set(rows) and found(size) == want
+
+
 def test_keep_one_of_each_component(spark, odd):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
