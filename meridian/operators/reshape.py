@@ -1,4 +1,4 @@
-"""Normalising list-valued text and flattening nested records."""
+"""Normalising list-valued text."""
 
 from __future__ import annotations
 
@@ -19,10 +19,3 @@ def explode_list(df: DataFrame, list_col: str, out_col: str, keep: Sequence[str]
     """
     return df.select(*keep, F.explode(split_list(list_col, sep_regex)).alias(out_col))
 
-
-def flatten(df: DataFrame, mapping: Sequence[tuple[str, str]]) -> DataFrame:
-    """Select nested paths under flat names: ``[("attributes.X", "x"), ...]``.
-
-    Missing nested values come back NULL, like a path-mapped bulk load.
-    """
-    return df.select(*[F.col(path).alias(name) for path, name in mapping])

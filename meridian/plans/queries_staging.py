@@ -15,6 +15,7 @@ from meridian.plans.registry import ORACLE, register, round_doubles, SQL_FACT_CT
 from meridian.session import scratch_dir
 from meridian.sources import landed
 from meridian.sources import standins as si
+from meridian.sources.json_lines import drift_report, read_lines, reconcile, replay
 from meridian.sources.readers import read_delimited, read_json
 from meridian.sources.sinks import (replace_date_range, write_delimited, write_json_lines,
                                     write_parquet)
@@ -45,11 +46,47 @@ def _raw_users(spark, d):
     return read_json(spark, _raw_user_path(spark, d), S.RAW_USER)
 
 
+_USER_SQL = ", ".join(n for n, _ in S.USER_COLUMNS)
+
+
 @register("user_clean", with_standins(
-    "SELECT user_id, name, average_stars, review_count, useful, "
-    "CAST(yelping_since AS TIMESTAMP) AS yelping_since FROM v_user"))
+    f"SELECT {_USER_SQL}, CAST(yelping_since AS TIMESTAMP) AS yelping_since FROM v_user_full"))
 def q_user_clean(spark, d):
-    return _roundtrip_parquet(spark, stg.stage_users(_raw_users(spark, d)), "stg-user")
+    return _roundtrip_parquet(spark, stg.stage_users(stg.read_users(spark, _raw_user_path(spark, d))), "stg-user")
+
+
+def _drift_sql():
+    """One row per vintage, field and type, counted by the rule that made the records."""
+    odd, text = "k % 2 = 1", "k % 2 = 1 AND k % 10 = 3"
+    number = "k % 2 = 1 AND k % 10 <> 3"
+    base = {"user_id": "string", "name": "string", "average_stars": "double", "review_count": "bigint", "useful": "bigint", "yelping_since": "string"}
+    rows = [(v, f, t, c, t, "declared", "false") for f, t in base.items() for v, c in (("y2020", "k % 2 = 0"), ("y2021", odd))]
+    for f, t in [(n, "string" if n == "elite" else "bigint") for n, _ in S.USER_COLUMNS if n not in base] + [("friends", "string")]:
+        rows.append(("y2020", f, "absent", "k % 2 = 0", t, "declared", "false"))
+        if f == "friends":
+            rows.append(("y2021", f, "absent", odd, t, "declared", "false"))
+        elif f == "fans":
+            rows += [("y2021", f, "string", text, t, "declared", "true"), ("y2021", f, "bigint", number, t, "declared", "false")]
+        else:
+            rows.append(("y2021", f, t, odd, t, "declared", "false"))
+    rows += [("y2020", f, "absent", "k % 2 = 0", t, o, "false") for f, t, o in (("tips", "string", "conflict"), ("badge", "variant", "inferred"), ("score", "double", "inferred"))]
+    rows += [("y2021", "tips", "string", text, "string", "conflict", "false"), ("y2021", "tips", "bigint", number, "string", "conflict", "false"),
+             ("y2021", "badge", "object", f"{odd} AND k % 4 = 1", "variant", "inferred", "false"),
+             ("y2021", "badge", "absent", f"{odd} AND k % 4 <> 1", "variant", "inferred", "false"),
+             ("y2021", "score", "double", odd, "double", "inferred", "false")]
+    return " UNION ALL ".join(
+        f"SELECT '{v}' AS vintage, '{f}' AS field, '{t}' AS found, count(*) AS n, '{r}' AS reads_as, '{o}' AS origin, "
+        f"count(*) FILTER ({lost}) AS lost FROM v_user_full WHERE {c} HAVING count(*) > 0" for v, f, t, c, r, o, lost in rows)
+
+
+@register("user_drift", with_standins(_drift_sql()))
+def q_user_drift(spark, d):
+    """Files of two vintages: which fields they have, as what, and what the chosen types cannot hold."""
+    root = scratch_dir(spark, "user-vintages")
+    for name, lines in landed.raw_user_vintages(spark, d).items():
+        lines.write.text(f"{root}/{name}")
+    lines = read_lines(spark, f"{root}/*")
+    return drift_report(lines, reconcile(lines, S.RAW_USER))
 
 
 @register("friend_edges", with_standins("SELECT user_id, friend_id FROM v_friend"))
@@ -57,13 +94,35 @@ def q_friend_edges(spark, d):
     return _roundtrip_parquet(spark, stg.stage_friends(_raw_users(spark, d)), "stg-friend")
 
 
-@register("business_flatten", with_standins(
-    "SELECT business_id, name, address, city, latitude, longitude, stars, review_count, "
-    "categories, restaurants_price_range FROM v_business"))
+def _business_sql():
+    def attribute(j, name):
+        value = f"'{name} ' || CAST((k * {j + 3}) % 4 AS string)"
+        if name == "RestaurantsPriceRange2":
+            return f"CASE WHEN k % 11 <> 0 THEN restaurants_price_range END AS {name}"
+        if name in landed.NESTED_ATTRIBUTES:
+            value = """'{"garage":' || CAST(k % 2 = 0 AS string) || ',"street":' || CAST(k % 3 = 0 AS string) || '}'"""
+        return f"CASE WHEN k % 11 <> 0 AND (k + {j}) % 5 <> 0 THEN {value} END AS {name}"
+
+    return ("SELECT address, " + ", ".join(attribute(j, a) for j, a in enumerate(S.BUSINESS_ATTRIBUTES)) + """,
+    business_id, categories, city,
+    CASE WHEN k % 6 <> 0 THEN '{"Monday":"9:0-17:0","Sunday":"' || CAST(k % 12 AS string) || ':0-18:0"}' END AS hours,
+    CAST(k % 2 AS integer) AS is_open, CAST(CAST(latitude AS DECIMAL(8,6)) AS DOUBLE) AS latitude,
+    CAST(CAST(longitude AS DECIMAL(9,6)) AS DOUBLE) AS longitude, name, CAST(k + 10000 AS string) AS postal_code,
+    review_count, stars, replace(city, 'city ', 'S') AS state,
+    CASE WHEN k % 4 = 2 THEN '{"photos_count":' || CAST(k * 2 AS string) || '}'
+         WHEN k % 4 = 1 AND k % 11 <> 0 THEN '{"attributes.NewVibe":"v' || CAST(k % 7 AS string) || '"}' END AS unmapped
+    FROM (SELECT *, CAST(substr(business_id, 2) AS BIGINT) AS k FROM v_business) b""")
+
+
+@register("business_flatten", with_standins(_business_sql()))
 def q_business_flatten(spark, d):
+    """All 52 columns of the business table, as its schema declares them, and what it has no column for."""
     raw_path = scratch_dir(spark, "raw-business")
     write_json_lines(landed.raw_business(spark, d), raw_path)
-    return stg.stage_business(read_json(spark, raw_path, S.RAW_BUSINESS))
+    table = _roundtrip_parquet(spark, stg.stage_business(read_lines(spark, raw_path)), "stg-business")
+    # decimals and variants are compared as doubles and JSON text
+    return table.withColumns({"latitude": F.col("latitude").cast("double"), "longitude": F.col("longitude").cast("double"),
+                              "unmapped": F.to_json("unmapped")})
 
 
 def _reviews(spark, d):
@@ -88,6 +147,41 @@ def q_corrupt_rows(spark, d):
                    .cast("bigint").alias("n_corrupt"))
 
 
+def _damaged(spark, d):
+    """(typed rows of the good lines, folder of the quarantined lines)."""
+    raw, kept = scratch_dir(spark, "raw-review"), scratch_dir(spark, "bad-review")
+    landed.damaged_review_lines(spark, d).write.mode("overwrite").text(raw)
+    return stg.stage_reviews_quarantined(spark, raw, kept, "b1"), kept
+
+
+@register("bad_lines", with_standins("""
+SELECT reason, count(*) AS n, count(*) FILTER (reason <> 'missing:review_id') AS n_mended FROM (
+  SELECT CASE WHEN cool = 7 THEN 'cut_short' WHEN cool = 6 THEN 'wrong_type:stars' WHEN cool = 5 THEN 'not_an_object'
+              WHEN cool = 4 AND funny = 0 THEN 'missing:review_id' END AS reason FROM v_review) q
+WHERE reason IS NOT NULL GROUP BY reason"""))
+def q_bad_lines(spark, d):
+    """Quarantined lines by reason, and how many of them can be mended."""
+    _, kept = _damaged(spark, d)
+    good, bad = replay(spark, kept, stg.mend_review, stg.REVIEW_REQUIRED)
+    before = spark.read.parquet(kept).groupBy("reason").agg(F.count("*").alias("n"))
+    after = bad.groupBy(F.col("reason").alias("r")).agg(F.count("*").alias("left"))
+    return (before.join(after, F.col("reason") == F.col("r"), "left")
+            .select("reason", "n", (F.col("n") - F.coalesce("left", F.lit(0))).alias("n_mended")))
+
+
+@register("review_replayed", with_standins(
+    "SELECT review_id, business_id, user_id, stars, useful, cool, funny, text, date FROM v_review "
+    "WHERE NOT (cool = 4 AND funny = 0)"))
+def q_review_replayed(spark, d):
+    """Reviews staged from the good lines and from the mended ones of the quarantine."""
+    rows, kept = _damaged(spark, d)
+    good, _ = replay(spark, kept, stg.mend_review, stg.REVIEW_REQUIRED)
+    target = scratch_dir(spark, "stg-review")
+    write_parquet(rows, target)
+    write_parquet(stg.review_rows(good), target, mode="append")
+    return spark.read.parquet(target)
+
+
 SQL_COMBINED = """
 SELECT date, location_id, city_name, average_temp, station,
        CASE WHEN cast(substr(station, 2) AS BIGINT) % 97 = 0

@@ -18,15 +18,24 @@ def _st(*fields):
 
 # --- raw inputs -------------------------------------------------------------
 RAW_CHECKIN = _st(("business_id", S), ("date", S))
-RAW_USER = _st(("user_id", S), ("name", S), ("average_stars", D), ("review_count", L),
-               ("useful", L), ("yelping_since", S), ("friends", S))
+# The compliments a user can get, as the user table names them.
+COMPLIMENTS = ["cool", "cute", "funny", "hot", "list", "more", "note", "photos", "plain", "profile", "writer"]
+USER_COLUMNS = [("user_id", S), ("name", S), ("average_stars", D), ("review_count", L), ("useful", L), ("funny", L),
+                ("cool", L), ("fans", L), ("elite", S), *[(f"compliment_{c}", L) for c in COMPLIMENTS]]
+RAW_USER = _st(*USER_COLUMNS, ("yelping_since", S), ("friends", S))
 RAW_REVIEW = _st(("review_id", S), ("business_id", S), ("user_id", S), ("stars", D),
                  ("useful", L), ("cool", L), ("funny", L), ("text", S), ("date", S),
                  ("_corrupt_record", S))
-BUSINESS_ATTRIBUTES = _st(("RestaurantsPriceRange2", S))
-RAW_BUSINESS = _st(("business_id", S), ("name", S), ("address", S), ("city", S),
-                   ("latitude", D), ("longitude", D), ("stars", D), ("review_count", L),
-                   ("categories", S)).add("attributes", BUSINESS_ATTRIBUTES)
+# The attributes of the business table, in its column order.
+BUSINESS_ATTRIBUTES = [
+    "AcceptsInsurance", "AgesAllowed", "Alcohol", "Ambience", "BYOB", "BYOBCorkage", "BestNights", "BikeParking",
+    "BusinessAcceptsBitcoin", "BusinessAcceptsCreditCards", "BusinessParking", "ByAppointmentOnly", "Caters", "CoatCheck",
+    "Corkage", "DietaryRestrictions", "DogsAllowed", "DriveThru", "GoodForDancing", "GoodForKids", "GoodForMeal",
+    "HairSpecializesIn", "HappyHour", "HasTV", "Music", "NoiseLevel", "Open24Hours", "OutdoorSeating", "RestaurantsAttire",
+    "RestaurantsCounterService", "RestaurantsDelivery", "RestaurantsGoodForGroups", "RestaurantsPriceRange2",
+    "RestaurantsReservations", "RestaurantsTableService", "RestaurantsTakeOut", "Smoking", "WheelchairAccessible", "WiFi",
+]
+LAT, LON = T.DecimalType(8, 6), T.DecimalType(9, 6)
 
 # Landed API responses of the weather service (one JSON document per line).
 RAW_TEMPERATURE_PAGE = _st(("location_id", S)).add("results", T.ArrayType(_st(
@@ -38,8 +47,10 @@ RAW_CITY_PAGE = _st().add("results", T.ArrayType(_st(("id", S), ("name", S))))
 
 # --- staging ----------------------------------------------------------------
 STG_CHECKIN = _st(("business_id", S), ("date", TS))
-STG_USER = _st(("user_id", S), ("name", S), ("average_stars", D), ("review_count", L),
-               ("useful", L), ("yelping_since", TS))
+STG_BUSINESS = _st(("address", S), *[(a, S) for a in BUSINESS_ATTRIBUTES], ("business_id", S), ("categories", S),
+                   ("city", S), ("hours", S), ("is_open", I), ("latitude", LAT), ("longitude", LON), ("name", S),
+                   ("postal_code", S), ("review_count", L), ("stars", D), ("state", S))
+STG_USER = _st(*USER_COLUMNS, ("yelping_since", TS))
 STG_FRIEND = _st(("user_id", S), ("friend_id", S))
 STG_WEATHER = _st(("date", S), ("location_id", S), ("city_name", S), ("average_temp", D),
                   ("station", S), ("long", D), ("lat", D), ("prcp", D))

@@ -3,6 +3,8 @@
 Valid in both engines; the oracle queries are written against these names.
 """
 
+from meridian.schemas import COMPLIMENTS
+
 STANDIN_CTES = {
     "v_business": """
 SELECT concat('B', cast(s_suppkey AS string)) AS business_id, s_name AS name,
@@ -45,12 +47,16 @@ SELECT concat('U', cast(c_custkey AS string)) AS user_id, c_name AS name,
        cast(c_custkey % 13 AS bigint) AS useful,
        concat('20', CASE WHEN c_custkey % 2 = 0 THEN '08' ELSE '14' END, '-03-05 10:20:30') AS yelping_since
 FROM customer""",
+    "v_user_full": """
+SELECT *, k % 17 AS funny, k % 19 AS cool, k % 7 AS fans, CASE WHEN k % 3 = 0 THEN '2010,2012' ELSE '' END AS elite,
+       """ + ", ".join(f"(k * {i + 2}) % 23 AS compliment_{c}" for i, c in enumerate(COMPLIMENTS)) + """
+FROM (SELECT *, cast(substr(user_id, 2) AS bigint) AS k FROM v_user) u""",
     "v_friend": """
 SELECT DISTINCT concat('U', cast(o_custkey AS string)) AS user_id, concat('F', cast(l_partkey AS string)) AS friend_id
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
 }
 
-_ORDER = ["v_business", "v_station", "v_weather", "v_review", "v_checkin", "v_user", "v_friend"]
+_ORDER = ["v_business", "v_station", "v_weather", "v_review", "v_checkin", "v_user", "v_user_full", "v_friend"]
 
 
 def with_standins(body: str, extra_ctes: list[tuple[str, str]] | None = None) -> str:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meridian.schemas import COMPLIMENTS, USER_COLUMNS
+
 
 REPORT_EVERY = 31
 
@@ -118,6 +120,16 @@ def user(spark, sf_dir) -> DataFrame:
     )
 
 
+def user_full(spark, sf_dir) -> DataFrame:
+    """``user`` with every column of the user table."""
+    k = F.substring("user_id", 2, 20).cast("bigint")
+    return user(spark, sf_dir).withColumns({
+        "funny": k % 17, "cool": k % 19, "fans": k % 7,
+        "elite": F.when(k % 3 == 0, F.lit("2010,2012")).otherwise(F.lit("")),
+        **{f"compliment_{c}": (k * (i + 2)) % 23 for i, c in enumerate(COMPLIMENTS)},
+    }).select(*[n for n, _ in USER_COLUMNS], "yelping_since")
+
+
 def friend(spark, sf_dir) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
