@@ -24,12 +24,18 @@ MAX_FIELDS = 2000
 _NUMBERS = ["bigint", "decimal(38,0)", "double"]
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row: the optimizer copies a projected expression into every
+    filter and column that uses it, but not one that comes out of a generator."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def read_lines(spark: SparkSession, path) -> DataFrame:
     """(line, vintage, record): the text of each line, the name of its folder, and the line as a variant
     (NULL if it is no JSON)."""
     df = spark.read.text(path)
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return df.select(F.col("value").alias("line"), folder.alias("vintage")).withColumn("record", F.try_parse_json("line"))
+    return _once(df.select(F.col("value").alias("line"), folder.alias("vintage")), record=F.try_parse_json("line"))
 
 
 def fields_map(record: Column | str = "record") -> Column:
@@ -54,8 +60,8 @@ def classify(lines: DataFrame, required: Mapping[str, str]) -> DataFrame:
 
     ``required``: field -> type for the fields a record must hold.
     """
-    text = F.trim(F.regexp_replace("line", r"[\s\u0000]+$", ""))
-    m = F.col("__m")
+    lines = _once(lines, __m=fields_map(), __t=F.trim(F.regexp_replace("line", r"[\s\u0000]+$", "")))
+    m, text = F.col("__m"), F.col("__t")
     reason = (F.when(F.coalesce(F.length(text), F.lit(0)) == 0, "blank")
               .when(F.col("record").isNull() & text.startswith("{") & ~text.endswith("}"), "cut_short")
               .when(F.col("record").isNull(), "malformed")
@@ -64,7 +70,7 @@ def classify(lines: DataFrame, required: Mapping[str, str]) -> DataFrame:
         value = F.element_at(m, F.lit(name))
         reason = (reason.when(~_present(value), f"missing:{name}")
                   .when(typed(value, ddl).isNull(), f"wrong_type:{name}"))
-    return lines.withColumn("__m", fields_map()).withColumn("reason", reason).drop("__m")
+    return _once(lines, reason=reason).drop("__m", "__t")
 
 
 def split_lines(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,7 +91,7 @@ def replay(spark: SparkSession, path: str, mend, required: Mapping[str, str]) ->
     classified anew: (good lines, lines that are still bad)."""
     kept = spark.read.parquet(path)
     lines = kept.select(mend(F.col("line"), F.col("reason")).alias("line"), "vintage")
-    return split_lines(classify(lines.withColumn("record", F.try_parse_json("line")), required))
+    return split_lines(classify(_once(lines, record=F.try_parse_json("line")), required))
 
 
 # --- schema reconciliation ------------------------------------------------------------
@@ -146,7 +152,7 @@ def reconcile(lines: DataFrame, declared: T.StructType) -> list[Field]:
 
 def read_reconciled(lines: DataFrame, fields: list[Field]) -> DataFrame:
     """One typed column per field; absent fields and values a type cannot hold are NULL."""
-    m = lines.select(fields_map().alias("__m"))
+    m = _once(lines.select("record"), __m=fields_map())
     return m.select(*[typed(F.element_at("__m", F.lit(f.name)), f.ddl).alias(f.name) for f in fields])
 
 
@@ -157,7 +163,8 @@ def drift_report(lines: DataFrame, fields: list[Field]) -> DataFrame:
     read as ``reads_as``.
     """
     known = F.array(*[F.struct(F.lit(f.name).alias("field"), F.lit(f.ddl).alias("reads_as"), F.lit(f.origin).alias("origin")) for f in fields])
-    x = lines.select("vintage", fields_map().alias("__m"), F.explode(known).alias("f")).filter(F.col("__m").isNotNull())
+    x = _once(lines.select("vintage", "record"), __m=fields_map()).filter(F.col("__m").isNotNull())
+    x = x.select("vintage", "__m", F.explode(known).alias("f"))
     value = F.element_at("__m", F.col("f.field"))
     read = F.lit(None).cast("boolean")
     for ddl in sorted({f.ddl for f in fields}):
