@@ -318,11 +318,9 @@ def q_daily_pipeline(spark, d):
     from meridian.plans import pipeline as pl
     from meridian.plans import staging as stg
     from meridian.session import scratch_dir
-    from meridian.sources.sinks import write_parquet
     wh = pl.Warehouse(scratch_dir(spark, "warehouse"))
     w = si.weather(spark, d)
-    write_parquet(stg.weather_table_rows(w.where(~F.substring("date", 1, 10).between("1996-01-29", "1996-01-31"))),
-                  wh.path("stg_weather"), partition_by=[stg.WEATHER_PART])
+    stg.create_weather_table(wh.path("stg_weather"), w.where(~F.substring("date", 1, 10).between("1996-01-29", "1996-01-31")))
     days = wh.path("day_files")
     stg.write_day_files(w, days)
     ds = _dt.date.fromisoformat(PIPE_DS)

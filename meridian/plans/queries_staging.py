@@ -201,9 +201,29 @@ def _combined(spark, d):
         read_json(spark, paths["cities"], S.RAW_CITY_PAGE))
 
 
-@register("weather_combine", with_standins(SQL_COMBINED))
+# Whole weather tables have a row per station and day; the queries that build one return what it holds
+# per day and location, summed over every row and column.
+def _sql_digest(body: str) -> str:
+    return ("SELECT date, location_id, min(city_name) AS min_city, max(city_name) AS max_city, count(*) AS n, "
+            "count(DISTINCT station) AS stations, count(long) AS located, round(sum(average_temp), 4) AS temp, round(sum(prcp), 4) AS prcp, "
+            f"round(sum(long), 4) AS long, round(sum(lat), 4) AS lat FROM ({body}) w GROUP BY date, location_id")
+
+
+def _digest(weather):
+    total = lambda c: F.round(F.sum(c), 4)
+    # a station is listed once per day and location in a correct table: count rows per station first
+    per = (weather.groupBy("date", "location_id", "station")
+           .agg(F.min("city_name").alias("lo"), F.max("city_name").alias("hi"), F.count("*").alias("n"), F.count("long").alias("located"),
+                *[F.sum(c).alias(c) for c in ("average_temp", "prcp", "long", "lat")]))
+    return (per.groupBy("date", "location_id")
+            .agg(F.min("lo").alias("min_city"), F.max("hi").alias("max_city"), F.sum("n").alias("n"), F.count("*").alias("stations"),
+                 F.sum("located").alias("located"), total("average_temp").alias("temp"), total("prcp").alias("prcp"),
+                 total("long").alias("long"), total("lat").alias("lat")))
+
+
+@register("weather_combine", with_standins(_sql_digest(SQL_COMBINED)))
 def q_weather_combine(spark, d):
-    return _combined(spark, d)
+    return _digest(_combined(spark, d))
 
 
 LOOKBACK_DS = _dt.date(1996, 1, 20)
@@ -218,8 +238,8 @@ def q_weather_lookback(spark, d):
     return stg.land_lookback(spark, days, scratch_dir(spark, "ldg-weather"), LOOKBACK_DS)
 
 
-LANDED = ("1996-01-29", "1996-01-31")   # days of the landing; staging lacks the last two of them
-MISSING = "1996-01-30"
+LANDED = ("1996-01-28", "1996-01-30")   # days of the landing; staging lacks them from the second on
+MISSING = "1996-01-29"
 
 SQL_UPSERT_CTES = [
     ("stg", f"SELECT * FROM v_weather WHERE substr(date, 1, 10) NOT BETWEEN '{MISSING}' AND '{LANDED[1]}'"),
@@ -238,22 +258,15 @@ def _upsert_inputs(spark, d):
     return staging, landing
 
 
-@register("weather_upsert", with_standins("""
-SELECT coalesce(s.date, t.date) AS date, coalesce(s.location_id, t.location_id) AS location_id,
-       CASE WHEN s.date IS NULL THEN t.city_name ELSE s.city_name END AS city_name,
-       CASE WHEN s.date IS NULL THEN t.average_temp ELSE s.average_temp END AS average_temp,
-       coalesce(s.station, t.station) AS station,
-       CASE WHEN s.date IS NULL THEN t.long ELSE s.long END AS long,
-       CASE WHEN s.date IS NULL THEN t.lat ELSE s.lat END AS lat,
-       CASE WHEN s.date IS NULL THEN t.prcp ELSE s.prcp END AS prcp
-FROM stg t FULL OUTER JOIN ldg s
-  ON t.date = s.date AND t.location_id = s.location_id AND t.station = s.station""", SQL_UPSERT_CTES))
+@register("weather_upsert", with_standins(_sql_digest("""
+SELECT * FROM ldg UNION ALL
+SELECT * FROM stg t WHERE (date, location_id, station) NOT IN (SELECT date, location_id, station FROM ldg)"""), SQL_UPSERT_CTES))
 def q_weather_upsert(spark, d):
     staging, landing = _upsert_inputs(spark, d)
     path = scratch_dir(spark, "stg-weather")
-    write_parquet(stg.weather_table_rows(staging), path, partition_by=[stg.WEATHER_PART])
+    stg.create_weather_table(path, staging)
     stg.upsert_weather(spark, path, landing)
-    return stg.read_weather_table(spark, path)
+    return _digest(stg.read_weather_table(spark, path))
 
 
 @register("weather_anti", with_standins("""
@@ -342,15 +355,14 @@ def q_replace_date_range(spark, d):
 
 
 @register("truncate_load_partitioned", with_standins(
-    "SELECT date, location_id, city_name, average_temp, station, long, lat, prcp FROM v_weather "
-    "WHERE substr(date, 1, 7) <> '1996-01'"))
+    _sql_digest("SELECT * FROM v_weather WHERE substr(date, 1, 7) <> '1996-01'")))
 def q_truncate_load_partitioned(spark, d):
     """A second load without one month: its partition must be gone afterwards."""
     p = scratch_dir(spark, "weather-by-month")
-    w = stg.weather_table_rows(si.weather(spark, d))
-    write_parquet(w, p, partition_by=[stg.WEATHER_PART])
-    write_parquet(w.where(F.substring("date", 1, 7) != "1996-01"), p, partition_by=[stg.WEATHER_PART])
-    return stg.read_weather_table(spark, p)
+    w = si.weather(spark, d).withColumn("month", F.substring("date", 1, 7))
+    write_parquet(w, p, partition_by=["month"])
+    write_parquet(w.where(F.col("month") != "1996-01"), p, partition_by=["month"])
+    return _digest(spark.read.parquet(p))
 
 
 @register("weather_stream", ORACLE["weather_upsert"])
@@ -359,7 +371,7 @@ def q_weather_stream(spark, d):
     from meridian.streaming import start_weather_stream
     staging, landing = _upsert_inputs(spark, d)
     path = scratch_dir(spark, "stg-weather-stream")
-    write_parquet(stg.weather_table_rows(staging), path, partition_by=[stg.WEATHER_PART])
+    stg.create_weather_table(path, staging)
     days = scratch_dir(spark, "landing-days")
     stg.write_day_files(landing, days)
     q = start_weather_stream(spark, days, path, scratch_dir(spark, "stream-ckpt"),
@@ -367,4 +379,4 @@ def q_weather_stream(spark, d):
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return stg.read_weather_table(spark, path)
+    return _digest(stg.read_weather_table(spark, path))

@@ -1,4 +1,4 @@
-"""Load modes: overwrite, append, keyed upsert of partitions, date-range replace.
+"""Load modes: overwrite, append, date-range replace (keyed upserts are in ``versions``).
 
 Tables are Parquet directories. A job never overwrites a path it is still
 reading: rows that depend on the target are first written to a fresh
@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.operators.merge import anti_join, dedupe_by_key
 from meridian.session import scratch_dir
 
 
@@ -47,8 +46,8 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ",", header: bool =
     w.csv(path)
 
 
-def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
+    df.write.mode(mode).json(path, compression=compression)
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -66,34 +65,6 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
        .partitionBy(*partition_by).parquet(path))
 
 
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-                 attrs: Sequence[str], partition_col: str) -> None:
-    """Keyed upsert into a Parquet table partitioned by ``partition_col``.
-
-    Only partitions that the source touches are rebuilt: target rows of
-    those partitions without a source key, plus the source rows (one per key).
-    Untouched partitions are never read or written: the source is reduced and
-    written once, its partition values (one per touched partition, a bounded
-    list) become a literal filter on the target, and that prunes the scan. The
-    NULL partition counts as touched when the source has rows in it, and its
-    target rows without a source key stay.
-    """
-    cols = spark.read.parquet(path).columns
-    src = materialize(spark, dedupe_by_key(source.select(*cols), keys, attrs), "upsert-source")
-    values = [r[0] for r in src.select(partition_col).distinct().collect()]
-    if not values:
-        return
-    affected = affected_partitions(spark.read.parquet(path), partition_col, values)
-    staged = materialize(spark, anti_join(affected, src, keys).unionByName(src), "upsert")
-    overwrite_partitions(staged, path, [partition_col])
-
-
-def affected_partitions(target: DataFrame, partition_col: str, values: Sequence) -> DataFrame:
-    """Rows of ``target`` in the given partitions, as a filter the scan is pruned by."""
-    some = F.col(partition_col).isin([v for v in values if v is not None])
-    return target.where(some | F.col(partition_col).isNull() if None in values else some)
-
-
 def _days(lo: _dt.date, hi: _dt.date) -> list[_dt.date]:
     return [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
 

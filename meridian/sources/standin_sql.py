@@ -27,10 +27,8 @@ SELECT concat(cast(d.dt AS string), 'T00:00:00') AS date,
        concat('City ', cast(s.p_partkey % 50 AS string), ' US') AS city_name,
        cast((s.p_partkey * 31 + d.dom * 17) % 450 AS double) / 10 AS average_temp,
        s.station, s.long, s.lat, cast((s.p_partkey + d.dom) % 5 AS double) AS prcp
-FROM v_station s JOIN
-     (SELECT DISTINCT cast(o_orderdate AS date) AS dt, day(cast(o_orderdate AS date)) AS dom,
-             date_diff('day', DATE '1992-01-01', cast(o_orderdate AS date)) AS num FROM orders) d
-  ON (s.p_partkey + d.num) % 31 = 0""",
+FROM v_station s CROSS JOIN
+     (SELECT DISTINCT cast(o_orderdate AS date) AS dt, day(cast(o_orderdate AS date)) AS dom FROM orders) d""",
     "v_review": """
 SELECT concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string)) AS review_id,
        concat('B', cast(l_suppkey AS string)) AS business_id, concat('U', cast(o_custkey AS string)) AS user_id,

@@ -1,8 +1,7 @@
 """Stand-in staging tables derived from the driver's TPC-H-style tables.
 
-business = supplier, station = part, weather = station x order days (each
-station on every 31st day), review = lineitem joined to its order, check-in = order, user =
-customer, friend edge = customer x distinct part bought. Each builder reads
+business = supplier, station = part, weather = every station on every order day, review = lineitem
+joined to its order, check-in = order, user = customer, friend edge = customer x distinct part bought. Each builder reads
 only the columns it needs so the parquet scan prunes the rest.
 """
 
@@ -14,8 +13,6 @@ from pyspark.sql import functions as F
 from meridian.schemas import COMPLIMENTS, USER_COLUMNS
 
 
-REPORT_EVERY = 31
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -53,20 +50,22 @@ def station(spark, sf_dir) -> DataFrame:
 
 
 def weather_days(spark, sf_dir) -> DataFrame:
-    """Every order day: its date, day of month and running number."""
+    """Every order day: its date and day of month."""
     o = table(spark, sf_dir, "orders")
     return (o.select(F.col("o_orderdate").cast("date").alias("dt")).distinct()
-             .select("dt", F.dayofmonth("dt").alias("dom"),
-                     F.datediff("dt", F.lit("1992-01-01").cast("date")).alias("num")))
+             .select("dt", F.dayofmonth("dt").alias("dom")))
+
+
+def day_list(spark, sf_dir) -> F.Column:
+    """All order days as one array (a day of the calendar each, a bounded list), from a scalar subquery."""
+    return weather_days(spark, sf_dir).agg(F.collect_list(F.struct("dt", "dom"))).scalar()
 
 
 def weather(spark, sf_dir) -> DataFrame:
-    """Station x day readings over the whole calendar; a station reports every
-    ``REPORT_EVERY`` days (its turn), so stations and turns are an equi-join."""
-    days = weather_days(spark, sf_dir).withColumn("turn", F.pmod(-F.col("num"), F.lit(REPORT_EVERY)))
-    st = station(spark, sf_dir).withColumn("turn", F.pmod(F.col("p_partkey"), F.lit(REPORT_EVERY)))
+    """Readings of every station on every order day. Narrow: each station row lists the days."""
     k = F.col("p_partkey")
-    return st.join(days, "turn").select(
+    x = station(spark, sf_dir).select("*", F.inline(day_list(spark, sf_dir)))
+    return x.select(
         F.concat(_s(F.col("dt")), F.lit("T00:00:00")).alias("date"),
         F.concat(F.lit("CITY:"), _s(k % 50)).alias("location_id"),
         F.concat(F.lit("City "), _s(k % 50), F.lit(" US")).alias("city_name"),

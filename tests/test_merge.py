@@ -1,9 +1,10 @@
 import datetime as dt
 
 
-from meridian.operators import anti_join, upsert
+from meridian.operators import anti_join
 from meridian.plans import staging as stg
 from meridian.session import scratch_dir
+from meridian.sources import versions
 from meridian.sources.sinks import replace_date_range, write_parquet
 from tests.conftest import rows
 
@@ -12,26 +13,23 @@ W = "date string, location_id string, city_name string, average_temp double, sta
 
 
 def test_upsert_update_insert_untouched_and_duplicate_key(spark):
-    target = spark.createDataFrame([
+    path = scratch_dir(spark, "t-upsert")
+    stg.create_weather_table(path, spark.createDataFrame([
         ("2021-01-01T00:00:00", "L", "old", 1.0, "S1", 1.0, 1.0, 0.0),   # updated
         ("2021-01-01T00:00:00", "L", "keep", 2.0, "S2", 1.0, 1.0, 0.0),  # untouched
-    ], W)
-    source = spark.createDataFrame([
+    ], W))
+    landing = spark.createDataFrame([
         ("2021-01-01T00:00:00", "L", "new", 5.0, "S1", 1.0, 1.0, 0.0),
         ("2021-01-01T00:00:00", "L", "new", 6.0, "S1", 1.0, 1.0, 0.0),   # duplicate key
         ("2021-01-02T00:00:00", "L", "ins", 7.0, "S1", 1.0, 1.0, 0.0),   # inserted
     ], W)
-    out = upsert(target, source, ["date", "location_id", "station"],
-                 ["city_name", "average_temp", "long", "lat", "prcp"])
-    assert rows(out, "date", "station", "city_name", "average_temp") == [
-        ("2021-01-01T00:00:00", "S1", "new", 6.0),
-        ("2021-01-01T00:00:00", "S2", "keep", 2.0),
-        ("2021-01-02T00:00:00", "S1", "ins", 7.0),
-    ]
-    # idempotent: applying the same landing again changes nothing
-    again = upsert(out, source, ["date", "location_id", "station"],
-                   ["city_name", "average_temp", "long", "lat", "prcp"])
-    assert rows(again) == rows(out)
+    for _ in range(2):                                                    # twice: same result
+        stg.upsert_weather(spark, path, landing)
+        assert rows(stg.read_weather_table(spark, path), "date", "station", "city_name", "average_temp") == [
+            ("2021-01-01T00:00:00", "S1", "new", 6.0),
+            ("2021-01-01T00:00:00", "S2", "keep", 2.0),
+            ("2021-01-02T00:00:00", "S1", "ins", 7.0),
+        ]
 
 
 def test_anti_join(spark):
@@ -40,21 +38,20 @@ def test_anti_join(spark):
     assert rows(anti_join(a, b, ["k"])) == [(1, "x")]
 
 
-def test_upsert_table_rewrites_only_touched_days(spark):
+def test_upsert_rewrites_only_touched_days(spark):
     path = scratch_dir(spark, "t-upsert")
-    base = spark.createDataFrame([
+    stg.create_weather_table(path, spark.createDataFrame([
         ("2021-01-01T00:00:00", "L", "a", 1.0, "S1", 1.0, 1.0, 0.0),
         ("2021-01-02T00:00:00", "L", "b", 2.0, "S1", 1.0, 1.0, 0.0),
-    ], W)
-    write_parquet(stg.weather_table_rows(base), path, partition_by=[stg.WEATHER_PART])
-    day1_files = sorted(p for p in spark.read.parquet(path).inputFiles() if "2021-01-01" in p)
+    ], W))
+    (first,) = versions.current(spark, path).folders
     landing = spark.createDataFrame([("2021-01-02T00:00:00", "L", "B", 3.0, "S1", 1.0, 1.0, 0.0)], W)
     stg.upsert_weather(spark, path, landing)
-    stg.upsert_weather(spark, path, landing)          # twice: same result
+    stg.upsert_weather(spark, path, landing)
     out = stg.read_weather_table(spark, path)
     assert rows(out, "date", "city_name", "average_temp") == [
         ("2021-01-01T00:00:00", "a", 1.0), ("2021-01-02T00:00:00", "B", 3.0)]
-    assert sorted(p for p in out.inputFiles() if "2021-01-01" in p) == day1_files
+    assert versions.current(spark, path).folders[first] == {dt.date(2021, 1, 1)}
 
 
 def test_replace_date_range_empties_days_without_new_rows(spark):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meridian.plans import staging as stg
+from meridian.sources import versions
 from meridian.plans.registry import QUERIES
 from meridian.session import scratch_dir
 from meridian.sources import standins as si
@@ -71,19 +72,23 @@ def test_lookback_read_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(year" in p
 
 
-def test_upsert_reads_only_touched_partitions(spark):
-    from meridian.sources.sinks import affected_partitions, write_parquet
+def test_upsert_reads_and_writes_only_touched_days(spark):
+    """Folders without a touched day are not read; the new folder holds the touched day alone."""
     path = scratch_dir(spark, "t-plan-upsert")
     w = si.weather(spark, SF_SMALL).where("substring(date, 1, 4) = '1996'")
-    write_parquet(stg.weather_table_rows(w), path, partition_by=[stg.WEATHER_PART])
-    day = w.agg(F.min(F.substring("date", 1, 10))).first()[0]
-    p = plan(affected_partitions(spark.read.parquet(path), stg.WEATHER_PART, [dt.date.fromisoformat(day[:8] + "01")]))
-    assert "PartitionFilters: [isnotnull(month_part" in p and day[:8] + "01" in p
-    def files():
-        return {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("month_part=")}
-    before = files()
-    landing = w.where(F.substring("date", 1, 10) == day).withColumn("average_temp", F.lit(99.0))
-    stg.upsert_weather(spark, path, spark.createDataFrame(landing.collect(), landing.schema))
-    assert {d for d, f in files().items() if f != before.get(d)} == {f"month_part={day[:8]}01"}
-    got = spark.read.parquet(path).where(F.substring("date", 1, 10) == day)
+    stg.create_weather_table(path, w)
+    day = dt.date.fromisoformat(w.agg(F.min(F.substring("date", 1, 10))).first()[0])
+    later = w.agg(F.max(F.substring("date", 1, 10))).first()[0]
+    landing = w.where(F.substring("date", 1, 10) == str(day)).withColumn("average_temp", F.lit(99.0))
+    before = versions.current(spark, path)
+    stg.upsert_weather(spark, path, landing)
+    after = versions.current(spark, path)
+    (old,), (new,) = before.folders, set(after.folders) - set(before.folders)
+    assert after.folders == {old: before.folders[old] - {day}, new: frozenset([day])}
+    assert sorted(os.listdir(os.path.join(path, old))) and spark.read.parquet(f"{path}/{new}").count() == landing.count()
+    p = plan(versions.read_table(spark, path, only=[dt.date.fromisoformat(later)]))
+    assert p.count("FileScan parquet") == 1 and f"PushedFilters: [IsNotNull(day_part), EqualTo(day_part,{later})]" in p
+    got = stg.read_weather_table(spark, path).where(F.substring("date", 1, 10) == str(day))
     assert {r.average_temp for r in got.collect()} == {99.0}
+    assert stg.read_weather_table(spark, path).count() == w.count()
+
