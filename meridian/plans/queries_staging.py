@@ -204,21 +204,21 @@ def _combined(spark, d):
 # Whole weather tables have a row per station and day; the queries that build one return what it holds
 # per day and location, summed over every row and column.
 def _sql_digest(body: str) -> str:
-    return ("SELECT date, location_id, min(city_name) AS min_city, max(city_name) AS max_city, count(*) AS n, "
-            "count(DISTINCT station) AS stations, count(long) AS located, round(sum(average_temp), 4) AS temp, round(sum(prcp), 4) AS prcp, "
-            f"round(sum(long), 4) AS long, round(sum(lat), 4) AS lat FROM ({body}) w GROUP BY date, location_id")
+    num = "CAST(substr(station, 2) AS BIGINT)"
+    return ("SELECT date, location_id, min(city_name) AS min_city, max(city_name) AS max_city, count(*) AS n, count(long) AS located, "
+            f"min({num}) AS min_station, max({num}) AS max_station, CAST(sum({num}) AS BIGINT) AS stations, CAST(sum({num} * {num}) AS BIGINT) AS squares, "
+            "round(sum(average_temp), 4) AS temp, round(sum(prcp), 4) AS prcp, round(sum(long), 4) AS long, round(sum(lat), 4) AS lat "
+            f"FROM ({body}) w GROUP BY date, location_id")
 
 
 def _digest(weather):
-    total = lambda c: F.round(F.sum(c), 4)
-    # a station is listed once per day and location in a correct table: count rows per station first
-    per = (weather.groupBy("date", "location_id", "station")
-           .agg(F.min("city_name").alias("lo"), F.max("city_name").alias("hi"), F.count("*").alias("n"), F.count("long").alias("located"),
-                *[F.sum(c).alias(c) for c in ("average_temp", "prcp", "long", "lat")]))
-    return (per.groupBy("date", "location_id")
-            .agg(F.min("lo").alias("min_city"), F.max("hi").alias("max_city"), F.sum("n").alias("n"), F.count("*").alias("stations"),
-                 F.sum("located").alias("located"), total("average_temp").alias("temp"), total("prcp").alias("prcp"),
-                 total("long").alias("long"), total("lat").alias("lat")))
+    """A partial aggregate per day and location; the stations are told by count, sum and sum of squares."""
+    num = F.substring("station", 2, 20).cast("bigint")
+    total = lambda c: F.round(F.sum(c), 4).alias(c)
+    return (weather.groupBy("date", "location_id")
+            .agg(F.min("city_name").alias("min_city"), F.max("city_name").alias("max_city"), F.count("*").alias("n"), F.count("long").alias("located"),
+                 F.min(num).alias("min_station"), F.max(num).alias("max_station"), F.sum(num).alias("stations"), F.sum(num * num).alias("squares"),
+                 F.round(F.sum("average_temp"), 4).alias("temp"), total("prcp"), total("long"), total("lat")))
 
 
 @register("weather_combine", with_standins(_sql_digest(SQL_COMBINED)))

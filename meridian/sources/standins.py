@@ -61,10 +61,17 @@ def day_list(spark, sf_dir) -> F.Column:
     return weather_days(spark, sf_dir).agg(F.collect_list(F.struct("dt", "dom"))).scalar()
 
 
+def spread_stations(spark, sf_dir) -> DataFrame:
+    """``station`` dealt over the cluster: a row grows by the length of the calendar, so the few rows of
+    one file must not stay in one task (a fixed number of partitions is not coalesced again)."""
+    n = max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return station(spark, sf_dir).repartition(n, "p_partkey")
+
+
 def weather(spark, sf_dir) -> DataFrame:
-    """Readings of every station on every order day. Narrow: each station row lists the days."""
+    """Readings of every station on every order day. Each station row lists the days."""
     k = F.col("p_partkey")
-    x = station(spark, sf_dir).select("*", F.inline(day_list(spark, sf_dir)))
+    x = spread_stations(spark, sf_dir).select("*", F.inline(day_list(spark, sf_dir)))
     return x.select(
         F.concat(_s(F.col("dt")), F.lit("T00:00:00")).alias("date"),
         F.concat(F.lit("CITY:"), _s(k % 50)).alias("location_id"),
