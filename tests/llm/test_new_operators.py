@@ -146,6 +146,14 @@ def test_align_pieces_chunks_and_blocks(spark, pair, sizes, block):
     assert found_align(df.limit(0)) == []
 
 
+def test_both_encoders_of_a_agree(spark, pair):
+    texts = [r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect() if r.text]
+    texts += ["  a  b\n\n \t c", "<|endoftext|> it's 12ab 漢字\u3000x \u00a0y \x1c z\u0301 ½ ²", " " * 50 + "x", "\r\n\r\n end "]
+    assert pair.a_fast is not None
+    for t in texts:
+        assert pair.a_fast.encode_ordinary(" " + t) == pair.a.encode(" " + t, add_special_tokens=False).ids
+
+
 def test_merge_path_splits_like_a_merge():
     import numpy as np
     rnd = random.Random(2)
