@@ -3,6 +3,7 @@ checked broadcasts, and vectorised word tables over Arrow text buffers."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from functools import lru_cache
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 #: Largest estimated size of a side that may be broadcast; beyond it joins shuffle.
 BROADCAST_BYTES = 32 << 20
 #: Text bytes that one vectorised step handles (a longer text is cut at white space).
-SEGMENT = 2 << 20
+SEGMENT = 512 << 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -201,3 +202,13 @@ def slices(batches, text: str, limit: int = SEGMENT):
             j = max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1)
             yield b.slice(i, j - i)
             i = j
+    trim()
+
+
+def trim() -> None:
+    """Give memory that a finished task freed back to the system: workers live on and share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):            # not this C library
+        pass

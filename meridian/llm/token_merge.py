@@ -27,6 +27,7 @@ import hashlib
 import json
 import math
 import re
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -82,9 +83,7 @@ class Pair:
     def __init__(self, files: tuple[bytes, bytes]):
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_buffer(files[0])
-        self.a.encode_special_tokens = True
+        self._a_file = files[0]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=files[1])
         chars = _byte_chars()
         spec = json.loads(files[0])
@@ -109,6 +108,14 @@ class Pair:
         if not (self.a_len.all() and self.b_len.all()):
             raise ValueError("a token of the vocabularies is empty")
 
+    @cached_property
+    def a(self):
+        """Tokenizer A itself (some 60 MB, so loaded only by the tasks that need it)."""
+        from tokenizers import Tokenizer
+        a = Tokenizer.from_buffer(self._a_file)
+        a.encode_special_tokens = True
+        return a
+
     def chunks(self, text: str, size: int):
         """Pieces of space + text that both tokenizers encode independently; each begins with a space."""
         whole, at = " " + text, 0
