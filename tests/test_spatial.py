@@ -173,3 +173,62 @@ def test_nearest_with_very_dense_point_cluster_uses_deeper_levels(spark):
     kw = dict(k=3, max_km=50, point_key=["pid"], site_key="sid", point_lat="plat",
               point_lon="plon", site_lat="slat", site_lon="slon")
     assert rows(nearest_k(pts, sites, crowded_cell_sites=8, split=4, **kw), *COLS) == _brute(pts, sites)
+
+
+KW = dict(k=3, max_km=50, point_key=["pid"], site_key="sid", point_lat="plat",
+          point_lon="plon", site_lat="slat", site_lon="slon")
+
+
+def test_cluster_inside_fifty_metres_is_split_as_deep_as_it_needs(spark):
+    rnd = random.Random(9)
+    at = lambda m: rnd.uniform(-m, m) * KM / 1000
+    st = ([(f"D{i}", 40 + at(25), -74 + at(25)) for i in range(500)]                     # all within 50 m
+          + [(f"E{i}", 40.1, -74.1) for i in range(300)]                                 # all on one place
+          + [(f"R{i}", 40 + rnd.uniform(-0.4, 0.4), -74 + rnd.uniform(-0.5, 0.5)) for i in range(40)])
+    sites = spark.createDataFrame(st, "sid string, slat double, slon double")
+    pts = spark.createDataFrame([(f"P{i}", 40 + at(8000), -74 + at(8000)) for i in range(60)]
+                                + [("Pin", 40.0, -74.0), ("Pon", 40.1, -74.1)], "pid string, plat double, plon double")
+    assert rows(nearest_k(pts, sites, crowded_cell_sites=16, **KW), *COLS) == _brute(pts, sites)
+
+
+def test_tree_splits_crowded_units_only_and_keeps_every_place_once(spark):
+    from meridian.operators.spatial import _cell_tree, _indexed
+    rnd = random.Random(3)
+    data = ([(i, 40.1 + rnd.random() * 1e-5, -74.1 + rnd.random() * 1e-5) for i in range(200)]
+            + [(1000 + i, rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(100)])
+    places = _indexed(spark.createDataFrame(data, "id int, la double, lo double"), "la", "lo", 0.25, 8)
+    kw = dict(cell_deg=0.25, split=8, crowded=20, name="t")
+    tree = _cell_tree(places, [], [], **kw)
+    assert len(tree.counts) > 4
+    held = [c.agg(F.sum("__tot")).first()[0] for c in tree.counts]
+    assert held[:2] == [300, 200] and held == sorted(held, reverse=True)
+    assert rows(tree.leaves, "id") == sorted((d[0],) for d in data)
+    assert tree.leaves.groupBy("__lv", "__uy", "__ux").count().where("count > 20").count() == 0
+    assert len(_cell_tree(places.where("id >= 1000"), [], [], **kw).counts) == 1
+    assert _cell_tree(places.limit(0), [], [], **kw).leaves.count() == 0
+
+
+def test_counting_defined_cases(spark):
+    from meridian.operators import count_within_radius
+    schema = "id int, lat double, lon double, cat string"
+    left = spark.createDataFrame([(1, 10.0, 10.0, "x"), (2, 10.0, 10.0, "x"), (3, None, 1.0, "x"), (4, 10.0, 10.0, None),
+                                  (5, 89.9, 0.0, "x"), (6, 0.0, 179.99, "x")], schema)
+    right = spark.createDataFrame([(0, 10.0, 10.0, "x")] * 100 + [(0, 10.0, None, "x"), (0, 10.0, 10.0, None),
+                                  (0, 89.9, 180.0, "x"), (0, 90.0, 5.0, "x"), (0, 0.0, -179.99, "x")], schema)
+    right = right.select(*(F.col(c).alias("r" + c) for c in right.columns))
+    kw = dict(left_key="id", left_lat="lat", left_lon="lon", right_lat="rlat", right_lon="rlon", extra_keys=[("cat", "rcat")])
+    assert rows(count_within_radius(left, right, 50.0, **kw)) == [(1, 100), (2, 100), (3, 0), (4, 0), (5, 2), (6, 1)]
+    assert rows(count_within_radius(left, right.limit(0), 50.0, **kw), "n") == [(0,)] * 6
+    assert count_within_radius(left.limit(0), right, 50.0, **kw).count() == 0
+
+
+def test_comparisons_of_one_circle_grow_slower_than_the_crowd(spark):
+    from meridian.operators.spatial import _pyramid_parts, grid_for_radius
+    rnd = random.Random(4)
+    compared = []
+    for n in (2000, 20000):
+        right = spark.createDataFrame([(rnd.uniform(39, 41), rnd.uniform(-75, -73)) for _ in range(n)], "__ra double, __ro double")
+        spots = spark.createDataFrame([(40.0, -74.0)], "__la double, __lo double")
+        sums, edge = _pyramid_parts(spots, right, 60.0, [], grid_for_radius(60.0, 4), 4, 32)
+        compared.append(edge.count())
+    assert compared[1] < 4 * compared[0]          # ten times the places at equal area
