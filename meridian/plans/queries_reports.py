@@ -305,6 +305,9 @@ FROM (SELECT 'dim_users' AS t, count(*) AS n FROM v_user
       UNION ALL SELECT 'dim_business', count(*) FROM v_business
       UNION ALL SELECT 'dim_weather', count(*) FROM dimw) c
 UNION ALL
+SELECT 'dim_users_no_null_time', CAST(count(*) AS DOUBLE), CAST(0 AS DOUBLE), count(*) = 0
+FROM v_user WHERE yelping_since IS NULL
+UNION ALL
 SELECT 'fact_checkins_reconcile', CAST(count(*) AS DOUBLE), CAST(0 AS DOUBLE), count(*) = 0
 FROM (SELECT date, business_id, sum(checkin_count) AS f FROM fact
       WHERE date BETWEEN DATE '{PIPE_FACT[0]}' AND DATE '{PIPE_FACT[1]}' GROUP BY 1, 2) a

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from meridian import schemas as S
 from meridian.operators import anti_join
 from meridian.plans import staging as stg
-from meridian.plans import star
+from meridian.plans import reload, star
 from meridian.plans.registry import ORACLE, register, round_doubles, SQL_FACT_CTES
 from meridian.session import scratch_dir
-from meridian.sources import landed
+from meridian.sources import landed, ledger, versions
 from meridian.sources import standins as si
 from meridian.sources.json_lines import drift_report, read_lines, reconcile, replay
 from meridian.sources.readers import read_delimited, read_json
@@ -299,6 +299,21 @@ def q_append_load(spark, d):
     return spark.read.parquet(p)
 
 
+@register("append_ledger", with_standins(
+    "SELECT review_id, business_id, user_id, date, stars, useful, cool, funny, text, "
+    "CASE WHEN stars <= 2 THEN 'low' ELSE 'high' END AS batch FROM v_review"))
+def q_append_ledger(spark, d):
+    """Two batches, each loaded twice, after a try that stopped before its entry."""
+    p = scratch_dir(spark, "reviews-ledger")
+    r = si.review(spark, d)
+    batches = {"low": r.where(F.col("stars") <= 2), "high": r.where(F.col("stars") > 2)}
+    write_parquet(batches["low"], f"{p}/batch-{'0' * 32}")
+    for _ in range(2):
+        for name, rows in batches.items():
+            ledger.append_batch(rows, p, name)
+    return ledger.read_batches(spark, p, r.schema)
+
+
 _USER_TEXT = S._st(("user_id", S.S), ("name", S.S), ("average_stars", S.D), ("review_count", S.L),
                    ("useful", S.L), ("yelping_since", S.S))
 
@@ -354,6 +369,30 @@ def q_replace_date_range(spark, d):
     return round_doubles(spark.read.parquet(p).select(*S.FACT_REVIEW_COLS))
 
 
+EDITED_DAYS = ("1993-03-15", "1995-06-17", "1997-08-01")     # far outside any window of days
+GONE_DAY = "2001-05-05"
+
+
+@register("fact_reload_changed", with_standins(SQL_FACT_ROUNDED, SQL_FACT_CTES))
+def q_fact_reload_changed(spark, d):
+    """The fact is loaded from older inputs: one day's reviews missing, another's rated differently, a third
+    one's check-ins missing, and a day that is gone by now. A reload rebuilds these days only."""
+    review, checkin = si.review(spark, d), si.staged_checkin(spark, d)
+    late, rated, visited = EDITED_DAYS
+    day = F.substring("date", 1, 10)
+    older = (review.where(day != late)
+             .withColumn("stars", F.when(day == rated, F.col("stars") + 1).otherwise(F.col("stars"))))
+    gone = review.where(day == rated).withColumn("date", F.lit(f"{GONE_DAY} 10:00:00"))
+    fact, marks = scratch_dir(spark, "fact-versions"), scratch_dir(spark, "fact-marks")
+    reload.reload_changed(spark, fact, marks, older.unionByName(gone.select(*older.columns)),
+                          checkin.where(F.col("date").cast("date") != F.lit(_dt.date.fromisoformat(visited))))
+    days = reload.reload_changed(spark, fact, marks, review, checkin)
+    wanted = {_dt.date.fromisoformat(x) for x in (*EDITED_DAYS, GONE_DAY)}
+    if not set(days) <= wanted:
+        raise AssertionError(f"days without a change were rebuilt: {set(days) - wanted}")
+    return round_doubles(versions.read_table(spark, fact).select(*S.FACT_REVIEW_COLS))
+
+
 @register("truncate_load_partitioned", with_standins(
     _sql_digest("SELECT * FROM v_weather WHERE substr(date, 1, 7) <> '1996-01'")))
 def q_truncate_load_partitioned(spark, d):

@@ -11,7 +11,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.session import scratch_dir
@@ -36,6 +36,24 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def write_observed(df: DataFrame, path: str, metrics: dict[str, Column], mode: str = "overwrite",
+                   partition_by: Sequence[str] | None = None) -> dict:
+    """:func:`write_parquet` that also returns ``metrics`` (aggregates) of the rows it wrote, without
+    another scan. They are taken in the writing stage, whose tasks Spark counts once each, retried or not."""
+    if not metrics:
+        write_parquet(df, path, mode, partition_by)
+        return {}
+    seen = Observation()
+    named = [c.alias(n) for n, c in metrics.items()]
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    w = df.observe(seen, *named).write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
+    w.parquet(path)
+    return seen.get
+
+
 def write_delimited(df: DataFrame, path: str, *, sep: str = ",", header: bool = True,
                     mode: str = "overwrite", quote_all: bool = False,
                     partition_by: Sequence[str] | None = None) -> None:
