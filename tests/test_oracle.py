@@ -33,3 +33,11 @@ def test_entry_smoke(spark):
     df = m.entry(spark)
     assert df.count() > 0
     assert set(QUERIES) <= set(m.queries())
+
+
+def test_entry_without_the_libraries_of_optional_operators():
+    import os, subprocess, sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.modules['zstandard'] = sys.modules['xxhash'] = sys.modules['sentencepiece'] = None; "
+            "import __spark_entry__ as e; from meridian.plans.registry import QUERIES; assert set(QUERIES) <= set(e.queries())")
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, check=True, timeout=120)
