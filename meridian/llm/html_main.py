@@ -11,12 +11,15 @@ First pass, on its own, each block becomes good, bad or undecided:
   where lists, code and foreign words are content); everything short or in between -> undecided.
 Second pass: an undecided block takes the label of the nearest decided blocks of its region
 on both sides. If they differ: good when the nearer one is, or when it is a heading before a good
-one. If there are none, a block is good in an article and bad on a page.
+one. If there are none, a block is good; and so are a page's undecided blocks when no block of the page is good.
+
+Inside an article, a ``header`` keeps its headings (the title) and loses the rest, and words of class
+names that also name content there (``section-header``, a table's ``toolbar``) mark nothing.
 
 The text is the good blocks in page order, white space folded, joined by one space.
 
 Defined results: null html counts as empty, without text; broken markup (unclosed or stray tags, cut
-references, an unclosed comment) is read as far as it goes; rows with null ids are kept;
+references, an unclosed comment) is read as far as it goes, in time linear in its length; rows with null ids are kept;
 repeated rows get equal results; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -46,7 +49,7 @@ STOP_WORDS = frozenset((
 BOILERPLATE_WORDS = frozenset((
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent "
     "cookie cookies copyright disclaimer disqus feedback footer form gdpr header hidden login masthead menu modal nav "
-    "navbar navigation newsletter notice notices notification pagination popup promo promoted promotion reader related "
+    "navbar navigation newsletter notice notices notification pagination popup promo promoted promotion related "
     "reply responses search share sharing sidebar signup skip social sponsor sponsored subscribe tags teaser toolbar "
     "widget").split())
 #: Those that mark even an article or main element.
@@ -58,6 +61,8 @@ BLOCK_TAGS = frozenset((
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section select "
     "summary table tbody td tfoot th thead tr ul").split())
+#: Left out up to their end tag; without one, only the tag itself is.
+MEDIA_TAGS = frozenset("audio canvas head math object svg video".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -67,13 +72,15 @@ LINKS = 0.5
 
 _TAG = re.compile(r"<(?:!--(?:.*?-->|.*)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                   r"|(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|[!?/][^>]*>|[a-zA-Z/!?][^<>]*$)", re.S)
+#: What can still be a tag where no ">" follows: a comment without end, or a tag cut by the page's end.
+_CUT_TAG = re.compile(r"<(?:!--.*|[a-zA-Z/!?][^<>]*$)", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
-    """(boilerplate, main) of an element."""
+def _marks(tag: str, attrs: str, inside: bool) -> tuple[bool, bool]:
+    """(boilerplate, main) of an element; ``inside`` an article some words mark nothing."""
     bad, main = tag in BOILERPLATE_TAGS, tag in ("article", "main")
     if attrs:
         for m in _ATTR.finditer(attrs):
@@ -84,8 +91,12 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 bad = True
             elif name in ("class", "id") and tag not in ("html", "body"):
-                words = _SPLIT.split(value)
-                bad = bad or not (ARTICLE_BOILERPLATE if main else BOILERPLATE_WORDS).isdisjoint(words)
+                listed = ARTICLE_BOILERPLATE if main or (inside and tag == "table") else BOILERPLATE_WORDS
+                for token in value.split():
+                    words = set(_SPLIT.split(token))
+                    if inside and len(words) > 1:
+                        words.discard("header")
+                    bad = bad or not listed.isdisjoint(words)
     return bad, main
 
 
@@ -100,21 +111,24 @@ def read_blocks(page: str) -> list[_Block]:
     blocks: list[_Block] = []
     parts: list[str] = []
     links = 0
-    stack: list[tuple[str, bool, bool]] = []       # element, boilerplate, main
-    own = False                                    # the paragraph's own mark
+    stack: list[tuple[str, bool, bool, bool]] = []   # element, boilerplate, main, header of an article
+    opened: dict[str, int] = {}                      # elements on the stack
+    bad_open = main_open = head_open = 0             # marks on the stack; a header's is not a boilerplate mark
+    own = False                                      # the paragraph's own mark
     heading = anchor = False
 
     def close():
         nonlocal parts, links
         text = " ".join("".join(parts).split())
         if text:
-            region = "boilerplate" if own or any(x[1] for x in stack) else "article" if any(x[2] for x in stack) else "page"
-            blocks.append(_Block(text, links, region, heading))
+            dropped = own or bad_open or (head_open and not heading)
+            blocks.append(_Block(text, links, "boilerplate" if dropped else "article" if main_open else "page", heading))
         parts, links = [], 0
 
-    pos, n = 0, len(page)
+    pos, n, last = 0, len(page), page.rfind(">")
+    endless: set[str] = set()                        # raw elements without an end tag from here on
     while pos < n:
-        m = _TAG.search(page, pos)
+        m = (_TAG if pos <= last else _CUT_TAG).search(page, pos)
         piece = page[pos:m.start() if m else n]
         if piece:
             piece = _html.unescape(piece)
@@ -124,14 +138,16 @@ def read_blocks(page: str) -> list[_Block]:
         if not m:
             break
         pos = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        tag = (m[2] or m[5] or "").lower() if m.re is _TAG else ""
         if not tag:
             continue
         closing, attrs = bool(m[1] or m[4]), m[3] if m[2] else m[6]
         if tag in RAW_TAGS:
             if not closing and not attrs.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, pos)
-                pos = end.end() if end else (n if tag != "head" else pos)
+                end = None if tag in endless else re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, pos)
+                if end is None:
+                    endless.add(tag)
+                pos = end.end() if end else (n if tag not in MEDIA_TAGS else pos)
             continue
         if tag == "br":
             parts.append(" ")
@@ -142,14 +158,18 @@ def read_blocks(page: str) -> list[_Block]:
             close()
             own = heading = anchor = False
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    if any(x[0] not in BLOCK_TAGS for x in stack[i:]):     # text of an inline element with a mark
-                        close()
-                    del stack[i:]
-                    break
+            if opened.get(tag):
+                i = len(stack) - 1
+                while stack[i][0] != tag:
+                    i -= 1
+                if any(x[0] not in BLOCK_TAGS for x in stack[i:]):     # text of an inline element with a mark
+                    close()
+                for name, bad, main, head in stack[i:]:
+                    opened[name] -= 1
+                    bad_open, main_open, head_open = bad_open - bad, main_open - main, head_open - head
+                del stack[i:]
         elif tag not in VOID_TAGS and not attrs.endswith("/"):
-            bad, main = _marks(tag, attrs)
+            bad, main = _marks(tag, attrs, main_open > 0)
             if tag == "p":
                 own = bad
             elif tag in HEADINGS:
@@ -157,7 +177,10 @@ def read_blocks(page: str) -> list[_Block]:
             elif tag in BLOCK_TAGS or bad or main:
                 if tag not in BLOCK_TAGS:
                     close()
-                stack.append((tag, bad, main))
+                head = tag == "header" and main_open > 0 and bad_open == 0
+                stack.append((tag, bad and not head, main, head))
+                opened[tag] = opened.get(tag, 0) + 1
+                bad_open, main_open, head_open = bad_open + (bad and not head), main_open + main, head_open + head
     close()
     return blocks
 
@@ -179,6 +202,7 @@ def classify(blocks: list[_Block]) -> None:
             b.label = "good"
     for region in ("article", "page"):
         part = [b for b in blocks if b.region == region]
+        hopeless = region == "page" and not any(b.label == "good" for b in blocks)
         decided = [(b.label, i) if b.label else None for i, b in enumerate(part)]
         before, last = [], None
         for d in decided:
@@ -193,8 +217,8 @@ def classify(blocks: list[_Block]) -> None:
             if decided[i]:
                 continue
             x, y = before[i], after[i]
-            if x is None and y is None:
-                b.label = "good" if region == "article" else "bad"
+            if hopeless or (x is None and y is None):
+                b.label = "good"
             elif x is None or y is None or x[0] == y[0]:
                 b.label = (x or y)[0]
             elif b.heading and y[0] == "good":
