@@ -8,7 +8,8 @@ is padded to its bucket's bound. Inside a bucket, pieces are numbered and
 
 Numbering is distributed: each bucket is cut into slices by a hash (about ``SLICE`` pieces
 each), slices are numbered on their own, and running totals of the slice sizes shift them. So a
-bucket may hold most of the corpus and still no task sees more than a slice.
+bucket may hold most of the corpus and still no task sees more than a slice. Copies of a row that is
+repeated over ``COPIES`` times are dealt over slices by their row number in the written table.
 
 Defined results: null or blank text has length 0 and one row without bucket, batch or
 place; ties in the program take the smaller bound; repeated rows are packed one by one; with
@@ -22,12 +23,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import written
+from meridian.llm.common import small, written
 
 MAX_LEN = 2048
 BUCKETS = 16
 TOKEN_BUDGET = 65_536
 SLICE = 50_000
+COPIES = 1_000
 
 
 def count_words(text: Column) -> Column:
@@ -71,8 +73,14 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, max_l
     count, if given.
     """
     size = count_words(F.col(text_col).cast("string")) if length is None else length
-    docs = written(df.select(F.col(id_col).alias("id"), size.cast("long").alias("n"), F.xxhash64(F.col(text_col).cast("string")).alias("th")), "lengths")
-    pieces = (docs.filter("n > 0").select("id", "n", "th", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / max_len).cast("int"))).alias("piece"))
+    docs = written(df.select(F.col(id_col).alias("id"), size.cast("long").alias("n"), F.xxhash64(F.col(text_col).cast("string")).alias("th"),
+                             F.monotonically_increasing_id().alias("row")), "lengths")
+    # rows repeated whole: at most rows / COPIES keys
+    often = written(docs.filter("n > 0").groupBy("id", "th").agg(F.count("*").alias("c")).filter(F.col("c") > COPIES)
+                    .select(F.col("id").alias("o_id"), F.col("th").alias("o_th"), "c"), "often")
+    dealt_by = (docs.filter("n > 0").join(small(often, 40 * often.count()), F.col("id").eqNullSafe(F.col("o_id")) & (F.col("th") == F.col("o_th")), "left")
+                .select("id", "n", "th", F.when(F.col("c").isNotNull(), F.pmod(F.xxhash64("row"), F.ceil(F.col("c") / COPIES))).otherwise(0).alias("part")))
+    pieces = (dealt_by.select("id", "n", "th", "part", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / max_len).cast("int"))).alias("piece"))
               .withColumn("first", F.col("piece").cast("long") * max_len)
               .withColumn("len", F.least(F.lit(max_len), F.col("n") - F.col("first")).cast("int")))
     hist = pieces.groupBy("len").agg(F.count("*").alias("c")).orderBy("len").collect()      # at most max_len rows
@@ -88,8 +96,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, max_l
     for b in reversed(bounds[:-1]):
         bucket = F.when(F.col("len") <= b, F.lit(b)).otherwise(bucket)
         cut = F.when(F.col("len") <= b, F.lit(max(1, -(-rows_in[b] // SLICE)))).otherwise(cut)
-    dealt = pieces.select("id", "th", "piece", "first", "len", bucket.alias("bucket"),
-                          F.pmod(F.xxhash64("id", "th", "piece"), cut).cast("int").alias("slice"))
+    dealt = pieces.select("id", "th", "part", "piece", "first", "len", bucket.alias("bucket"),
+                          F.pmod(F.xxhash64("id", "th", "piece", "part"), cut).cast("int").alias("slice"))
     # where each slice starts in its bucket; slices number total rows / SLICE
     ahead = (dealt.groupBy("bucket", "slice").agg(F.count("*").alias("c"))
              .withColumn("ahead", F.sum("c").over(Window.partitionBy("bucket").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)))
