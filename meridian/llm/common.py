@@ -61,6 +61,17 @@ def small(df: DataFrame, est_bytes: int) -> DataFrame:
     return F.broadcast(df) if est_bytes <= BROADCAST_BYTES else df
 
 
+def fresh_names(df: DataFrame, taken: list[str]) -> DataFrame:
+    """``df`` with columns renamed where needed so that none is among ``taken`` (case ignored)."""
+    used, names = {c.lower() for c in taken}, []
+    for c in df.columns:
+        while c.lower() in used:
+            c = f"_{c}"
+        used.add(c.lower())
+        names.append(c)
+    return df.toDF(*names)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
