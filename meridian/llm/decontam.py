@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from meridian.llm.common import LOWER, NON_WORD, slices, small, text_buffer, word_table, written
+from meridian.llm.common import LOWER, NON_WORD, fresh_names, slices, small, text_buffer, word_table, written
 
 TERMS = 1 << 15
 PASSAGE, CHUNK = 32, 8
@@ -49,7 +49,7 @@ STOP_SHARE = 0.1
 #: Least weight of an item's term; cosine with a copy among average words from which an item is searched by it.
 IDF_FLOOR, CLEAR = 0.1, 0.8
 #: Answer terms of an item, and the share of them that must occur.
-ANSWER_TERMS, ANSWER_SHARE = 5, 0.6
+ANSWER_TERMS, ANSWER_SHARE = 8, 0.5
 #: Items compared in one pass over the documents; more items take more passes.
 ITEM_BLOCK = 20_000
 _BLOCK = 1024
@@ -367,7 +367,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, it
     found = None
     for i in range(max(1, blocks)):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(max(1, blocks))) == i)
-        rows_b = sc.broadcast(sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")))
+        rows_b = sc.broadcast(sorted(((r["item"], r["text"]) for r in part.collect()), key=lambda x: (x[0] is None, () if x[0] is None else (x[0],), x[1] or "")))
         one = src.mapInArrow(_search(idf_b, proj_b, rows_b, clear, cosine, sch), ddl)
         found = one if found is None else found.unionByName(one)
     return found
@@ -382,8 +382,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; other rows of the same id, or without one, stay."""
-    bad = written(_leaks(docs, benchmark, id_col, text_col, "item_id", "text", COSINE)
-                  .select(F.col("id").alias("__bad"), F.col("th").alias("__th")).distinct(), "leaks")
+    bad = written(_leaks(docs, benchmark, id_col, text_col, "item_id", "text", COSINE).select("id", "th").distinct(), "leaks")
     n = bad.agg(F.count("*").alias("n")).first()["n"]
-    return docs.join(small(bad, 32 * n), F.col(id_col).eqNullSafe(F.col("__bad"))
-                     & F.xxhash64(F.col(text_col).cast("string")).eqNullSafe(F.col("__th")), "left_anti")
+    bad = fresh_names(bad, docs.columns)
+    return docs.join(small(bad, 32 * n), docs[id_col].eqNullSafe(bad[bad.columns[0]])
+                     & F.xxhash64(docs[text_col].cast("string")).eqNullSafe(bad[bad.columns[1]]), "left_anti")

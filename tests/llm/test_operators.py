@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meridian.llm import (decontam, html_main, langid, licenses, ngram_join, packing, pii, spotsigs,
                           superkmer, toxicity)
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 
 LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(6000))
 PASSAGE = " ".join(f"shared{i}" for i in range(60))
@@ -126,6 +126,51 @@ def test_keep_one_of_each_component(spark, odd):
 
 # --- 10: passages that repeat --------------------------------------------------------------
 
+def test_rows_without_ids_join_their_own_texts_only(spark, monkeypatch):
+    """Near-copy pairs whose rows have no id, or one id for all: the text step grows with the rows."""
+    inner = ngram_join._emit_keyed_sets
+    acc = spark.sparkContext.accumulator(0)
+
+    def counted(n):
+        run = inner(n)
+
+        def wrapped(batches):
+            def through():
+                for b in batches:
+                    acc.add(b.num_rows)
+                    yield b
+            yield from run(through())
+        return wrapped
+    monkeypatch.setattr(ngram_join, "_emit_keyed_sets", counted)
+    rows = []
+    for i in range(40):
+        base = " ".join(f"p{i}w{j}" for j in range(60))
+        rows += [(None if i % 2 else 7, base), (None if i % 2 else 7, base + " tail")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collected(ngram_join.ngram_components(df))
+    assert len(got) == 80 and acc.value <= 160
+
+
+def test_clashing_names_in_filtering_stages(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    data = [(1, text, "a", 1, "x", 1, 1), (1, text, "a", 1, "x", 1, 1), (2, text + " z", "b", 2, "y", 2, 2), (3, None, None, None, None, None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, __k_id string, __k_th int, id string, th int, __copies int")
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+    left = decontam.drop_leaks(df, spark.createDataFrame([(None, None), (1, text)], "item_id long, text string"))
+    assert left.columns == df.columns and [r["doc_id"] for r in left.collect()] == [3]
+
+
+def test_empty_tables_give_empty_results(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string")
+    items = spark.createDataFrame([("", "a b c d e f g h")], "item_id string, text string")
+    for got in (ngram_join.ngram_components(none), ngram_join.keep_one(none), decontam.find_leaks(none, items), decontam.drop_leaks(none, items),
+                packing.pack(none)):
+        assert got.count() == 0
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_main.extract(pages).count() == 0
+
+
 def brute_repeats(rows, k):
     words = [(t or "").encode().split() for _, t in rows]
     seen = Counter(tuple(w[i:i + k]) for w in words for i in range(len(w) - k + 1))
@@ -261,6 +306,16 @@ def test_packing_keeps_every_token(odd, monkeypatch):
     assert all(len(batches[b, i]) == max(1, 300 // b) for b in last for i in range(last[b] - 1))     # only the last is open
 
 
+def test_repeated_rows_are_dealt_over_slices(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE", 50)
+    monkeypatch.setattr(packing, "COPIES", 20)
+    df = spark.createDataFrame([(None, "same words here")] * 600 + [(7, "three more words")] * 300 + [(i, "a b c") for i in range(100)], "doc_id long, text string")
+    got = collected(packing.pack(df, token_budget=30))
+    assert len(got) == 1000 and Counter(r["doc_id"] for r in got)[None] == 600
+    places = Counter((r["batch"], r["slot"]) for r in got)
+    assert set(places.values()) == {1} and {b for b, _ in places} == set(range(100))        # ten a batch, none open
+
+
 # --- 1: licenses -----------------------------------------------------------------------------
 
 def test_license_scan(spark, odd):
@@ -365,6 +420,36 @@ def test_only_the_leaking_rows_of_an_id_go(spark):
     assert left == Counter([(None, clean[1]), (None, None), (5, clean[2]), (5, clean[2])])
 
 
+def test_paraphrased_items_are_found(spark):
+    """Two copies of each item inside documents; words are lost at random, half of them replaced."""
+    rnd = random.Random(8)
+    bench = spark.read.parquet(f"{SF_CHECK}/benchmark.parquet")
+    items = [(r["item_id"], r["text"]) for r in bench.orderBy("item_id").limit(40).collect()]
+    texts = [r["text"] for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").orderBy("doc_id").limit(600).collect() if r["text"]]
+    vocab = " ".join(texts[:200]).split()
+    rows = list(enumerate(texts))
+    already = {r["doc_id"] for r in decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert len(already) < 0.1 * len(rows)
+    least, planted = {0.0: 1.0, 0.1: 0.95, 0.2: 0.9}, {}
+    for lost in least:
+        for k in range(80):
+            item, out = items[k % len(items)], []
+            for w in item[1].split():
+                if rnd.random() >= lost:
+                    out.append(w)
+                elif rnd.random() < 0.5:
+                    out.append(rnd.choice(vocab))
+            body = texts[k].split()
+            at = rnd.randrange(len(body) + 1)
+            planted[len(rows), item[0]] = lost
+            rows.append((len(rows), " ".join(body[:at] + out + body[at:])))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    for lost, share in least.items():
+        want = {p for p, x in planted.items() if x == lost}
+        assert len(got & want) >= share * len(want), (lost, len(got & want))
+    assert {k for k, _ in got if k < len(texts)} == already            # no clean document more
+
+
 # --- 5: main text ----------------------------------------------------------------------------
 
 def test_main_text_of_the_pages(spark):
@@ -394,6 +479,31 @@ def test_main_text_edge_cases(spark):
     assert [(r["text"], r["n_chars"]) for r in html_main.extract(df).collect()] == [("", 0)] * 3
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><header><h1>A title</h1><div>By X</div></header><p>body</p></article>", "A title body"),
+    ("<article><div class='section-header'><h2>Part</h2></div><p class='reader'>body</p></article>", "Part body"),
+    ("<article><table class=toolbar><tr><td>cell</td></tr></table><p>tail</article>", "cell tail"),
+    ("<p>before<video src=x><p>after<object data=y>end", "before after end"),
+    ("<div><p>one short</p><p>two short</p></div><nav>menu</nav>", "one short two short"),
+    ("plain text without tags", "plain text without tags"),
+    ("<header><h1>Site</h1></header><article><p>body</article>", "body"),
+    ("<article><p>body</p><aside><header><h2>Ad</h2></header></aside></article>", "body")])
+def test_main_text_keeps_titles_and_short_pages(page, text):
+    assert html_main.main_text(page) == text
+
+
+@pytest.mark.parametrize("mark", ["<a ", "<div>", "<div></span>", "<head>", "<video>x", "<!", "<p>word", "<article><header>"])
+def test_broken_markup_is_read_in_linear_time(mark):
+    import time
+
+    def took(n):
+        t = time.process_time()
+        html_main.main_text(mark * n)
+        return time.process_time() - t
+    took(1000)
+    assert took(80_000) < 8 * max(took(20_000), 0.02)         # quadratic: 16 times
+
+
 # --- 7: fingerprints -------------------------------------------------------------------------
 
 def test_fingerprints_and_edits(spark, docs, odd):
