@@ -117,6 +117,16 @@ def test_shared_elements_do_not_depend_on_batch_borders(monkeypatch, size):
         assert {(h, k) for h, k, *_ in want} <= set(rows) and found(size) == want
 
 
+def test_sets_that_can_link_share_a_banded_element(spark):
+    """A set of n and the smallest that can link with it have an element in common; far sizes do not."""
+    n = spark.range(1, 4000).select(F.lit(7).cast("long").alias("h"), F.col("id").alias("n"))
+    big = ngram_join._banded(n, 75)
+    low = ngram_join._banded(n.select("h", F.ceil(F.col("n") * 3 / 4).alias("n"), F.col("n").alias("of")), 75)
+    assert big.join(low, (big.h == low.h) & (big.n == low.of)).select("of").distinct().count() == 3999
+    far = ngram_join._banded(n.select("h", (F.col("n") * 2).alias("n"), F.col("n").alias("of")), 75)
+    assert big.join(far, (big.h == far.h) & (big.n == far.of)).count() == 0
+
+
 def test_keep_one_of_each_component(spark, odd):
     kept = ngram_join.keep_one(odd)
     assert kept.columns == odd.columns
