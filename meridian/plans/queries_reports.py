@@ -10,9 +10,11 @@ from meridian.plans import quality as dq
 from meridian.plans import star
 from meridian.plans.registry import (SQL_DIM_USERS, SQL_DIM_WEATHER, SQL_FACT_CTES, SQL_HAVERSINE,
                                      SQL_MATCHED, register, round_doubles)
+from meridian.session import scratch_dir
 from meridian.sources import standins as si
 from meridian.sources.readers import read_json
 from meridian.sources.sinks import materialize
+from meridian.sources.sorted_table import order_report, read_sorted, write_sorted
 from meridian.sources.standin_sql import with_standins
 
 
@@ -207,6 +209,21 @@ def q_weather_sorted_head(spark, d):
     return an.sorted_head(si.weather(spark, d), ["station", "date", "location_id"], 20)
 
 
+@register("weather_sorted", with_standins("""
+SELECT station, count(*) AS readings, min(date) AS first_date, max(date) AS last_date, sum(prcp) AS prcp,
+       CAST(0 AS BIGINT) AS overlaps, CAST(0 AS BIGINT) AS breaks
+FROM v_weather GROUP BY station"""))
+def q_weather_sorted(spark, d):
+    """The readings as a table in (station, date) order, and what breaks that order: files that
+    overlap, rows that are smaller than the one in front."""
+    path = scratch_dir(spark, "weather-sorted")
+    write_sorted(si.weather(spark, d), path, ["station", "date", "location_id"], rows_per_file=500_000)
+    report = materialize(spark, order_report(spark, path), "order")
+    return (read_sorted(spark, path).groupBy("station")
+            .agg(F.count("*").alias("readings"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.sum("prcp").alias("prcp"))
+            .select("*", report.select("overlaps").scalar().alias("overlaps"), report.select("breaks").scalar().alias("breaks")))
+
+
 @register("user_head", with_standins(
     "SELECT user_id, name, average_stars, review_count, useful, yelping_since FROM v_user ORDER BY user_id LIMIT 5"))
 def q_user_head(spark, d):
