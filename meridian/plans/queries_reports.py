@@ -8,6 +8,7 @@ from meridian.functions import date_of_text
 from meridian.plans import analyses as an
 from meridian.plans import quality as dq
 from meridian.plans import star
+from meridian.plans.profiles import merge_profiles, read_profiles, store_profiles
 from meridian.plans.registry import (SQL_DIM_USERS, SQL_DIM_WEATHER, SQL_FACT_CTES, SQL_HAVERSINE,
                                      SQL_MATCHED, register, round_doubles)
 from meridian.session import scratch_dir
@@ -224,6 +225,26 @@ def q_weather_sorted(spark, d):
             .select("*", report.select("overlaps").scalar().alias("overlaps"), report.select("breaks").scalar().alias("breaks")))
 
 
+_REVIEW = ["review_id", "business_id", "user_id", "date", "stars", "useful", "cool", "funny", "text"]
+
+
+@register("profile_merged", with_standins(" UNION ALL ".join(f"""
+SELECT '{c}' AS name, count(*) AS n_rows, count(*) - count({c}) AS nulls, min(cast({c} AS varchar)) AS lowest, max(cast({c} AS varchar)) AS highest,
+       CASE WHEN count(DISTINCT {c}) < 256 THEN count(DISTINCT {c}) END AS few_values,
+       CASE WHEN count(DISTINCT {c}) < 256 THEN (SELECT cast({c} AS varchar) FROM v_review GROUP BY {c} ORDER BY count(*) DESC, 1 LIMIT 1) END AS most_frequent,
+       CASE WHEN count(DISTINCT {c}) < 256 THEN (SELECT count(*) FROM v_review GROUP BY {c} ORDER BY 1 DESC LIMIT 1) END AS times
+FROM v_review""" for c in _REVIEW)))
+def q_profile_merged(spark, d):
+    """Profiles of the reviews, stored by month of the review and merged. Distinct and frequent values are
+    given where a column has few, as the sketches are exact there."""
+    path = scratch_dir(spark, "profiles")
+    store_profiles(si.review(spark, d), path, F.substring("date", 1, 7))
+    few, first = F.col("distinct") < 256, F.col("frequent").getItem(0)
+    return (merge_profiles(read_profiles(spark, path))
+            .select(F.col("column").alias("name"), F.col("rows").alias("n_rows"), "nulls", "lowest", "highest", F.when(few, F.col("distinct")).alias("few_values"),
+                    F.when(few, first["value"]).alias("most_frequent"), F.when(few, first["count"]).alias("times")))
+
+
 @register("user_head", with_standins(
     "SELECT user_id, name, average_stars, review_count, useful, yelping_since FROM v_user ORDER BY user_id LIMIT 5"))
 def q_user_head(spark, d):
