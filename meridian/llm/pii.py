@@ -248,7 +248,8 @@ def find_private(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    counts = [F.size(F.filter("base", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["rank"] == k)).cast("long")      # (a second parameter would be the index)
+    counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(id_col, *counts, F.sha2(_join_spans("base"), 256).alias("base_sha256"), _join_spans("spans").alias("spans"))
 
 

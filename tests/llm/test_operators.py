@@ -244,6 +244,13 @@ def test_pii_digest_and_edge_cases(odd, docs):
             assert r["base_sha256"] in texts[r["doc_id"]]
 
 
+def test_pii_counts_of_several_spans_of_a_kind(spark):
+    data = [(1, "a@b.org and c@d.org and e@f.org"), (2, "1.2.3.4 x@y.net 5.6.7.8 +1 555 123 4567 q@r.net"), (3, "call +1 555 123 4567"),
+            (None, "9.9.9.9, 4111 1111 1111 1111"), (4, "none"), (5, None)]
+    got = {r["doc_id"]: [r[f"n_{k}"] for k in pii.KINDS] for r in collected(pii.digest(pii.find_private(spark.createDataFrame(data, "doc_id long, text string"))))}
+    assert got == {1: [3, 0, 0, 0], 2: [2, 2, 0, 1], 3: [0, 0, 0, 1], None: [0, 1, 1, 0], 4: [0] * 4, 5: [0] * 4}
+
+
 def test_contexts_discover_unseen_identifiers(spark):
     rows = [(i, f"please call office line +1 (555) 010-{1000 + i} today") for i in range(30)]
     rows += [(100, "please call office line 555-020-7777 today"), (101, "the code AB12345678 is unrelated")]
