@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from meridian.plans import staging as stg
+from meridian.plans import star
 from meridian.sources import versions
-from meridian.plans.registry import QUERIES
+from meridian.plans.registry import QUERIES, round_doubles
 from meridian.session import scratch_dir
 from meridian.sources import standins as si
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, rows
 
 
 def plan(df) -> str:
@@ -92,3 +93,28 @@ def test_upsert_reads_and_writes_only_touched_days(spark):
     assert {r.average_temp for r in got.collect()} == {99.0}
     assert stg.read_weather_table(spark, path).count() == w.count()
 
+
+
+def test_weather_is_the_same_dealt_by_month_and_no_join_broadcasts_it(spark, tmp_path):
+    """Readings are joined to what they need where they are made: with repeated and missing keys and days."""
+    d = str(tmp_path)
+    spark.createDataFrame([(0,), (1,), (1,), (None,), (98,)], "p_partkey long").write.parquet(f"{d}/part.parquet")
+    spark.sql("SELECT CAST(d AS timestamp_ntz) AS o_orderdate FROM VALUES ('1996-01-15 01:00:00'), ('1996-01-15'), ('1996-02-01'), (null) AS t(d)") \
+         .write.parquet(f"{d}/orders.parquet")
+    spark.createDataFrame([(k, f"s{k}", 1) for k in range(4)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{d}/supplier.parquet")
+    plain, by_month = si.weather(spark, d), si.weather(spark, d, by_month=True)
+    assert plain.columns == by_month.columns and plain.count() == 5 * 3
+    assert sorted(map(str, plain.collect())) == sorted(map(str, by_month.collect()))
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert size(plain) > 1000 * size(si.station(spark, d))      # what the planner takes it for: no side to broadcast
+    # a date reaches the days: no reading of another day is made
+    one = plain.where(F.substring("date", 1, 10) == "1996-01-15")._jdf.queryExecution().optimizedPlan().toString()
+    assert one.index("Join Cross") < one.index("= 1996-01-15")
+
+
+def test_dim_weather_is_the_same_when_matched_stations_are_too_many_to_broadcast(spark, monkeypatch):
+    b, w = si.business(spark, SF_SMALL).limit(20), si.weather(spark, SF_SMALL).where("date < '1995-01-05'")
+    want = rows(round_doubles(star.dim_weather(b, w)))
+    for limit in (30, 0):          # stations only; neither
+        monkeypatch.setattr(star, "BROADCAST_ROWS", limit)
+        assert rows(round_doubles(star.dim_weather(b, w))) == want and want
