@@ -67,3 +67,14 @@ def test_replace_date_range_empties_days_without_new_rows(spark):
         got = rows(spark.read.parquet(path), "date", "review_id")
         assert got == [(dt.date(2021, 1, 1), "r1"), (dt.date(2021, 1, 2), "r2-new"),
                        (dt.date(2021, 1, 4), "r4")]
+
+
+def test_anti_join_within_drops_other_days_only(spark):
+    a = spark.createDataFrame([("d1", 1), ("d1", 2), ("d2", 1), (None, 1), ("d3", None)], "day string, k int")
+    b = spark.createDataFrame([("d1", 1), ("d4", 2), (None, 1), ("d3", None), ("d1", 1)], "day string, k int")
+    want = rows_of(anti_join(a, b, ["day", "k"]))
+    assert rows_of(anti_join(a, b, ["day", "k"], within=["day"])) == want and len(want) == 4
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
