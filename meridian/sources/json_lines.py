@@ -35,7 +35,14 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     (NULL if it is no JSON)."""
     df = spark.read.text(path)
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return _once(df.select(F.col("value").alias("line"), folder.alias("vintage")), record=F.try_parse_json("line"))
+    return _once(df.select(F.col("value").alias("line"), folder.alias("vintage")), record=parsed("line"))
+
+
+def parsed(line: str) -> Column:
+    """The line as a variant. A line that opens an object and closes none is no JSON: it is told without the
+    parser, whose failure is dear."""
+    text = F.col(line)
+    return F.when(~(text.startswith("{") & ~text.contains("}")), F.try_parse_json(line))
 
 
 def fields_map(record: Column | str = "record") -> Column:
@@ -48,6 +55,15 @@ def typed(value: Column, ddl: str) -> Column:
     return value if ddl == "variant" else F.try_variant_get(value, "$", ddl)
 
 
+def field(name: str, ddl: str, record: str = "record") -> Column:
+    """A field of the record as ``ddl``; NULL where it is absent or cannot be. Read in place: a map of all fields
+    copies each of them."""
+    quote = next((q for q in "'\"" if q not in name), None)
+    if quote is None or not name:
+        return typed(F.element_at(fields_map(record), F.lit(name)), ddl)
+    return F.try_variant_get(F.col(record), f"$[{quote}{name}{quote}]", ddl)
+
+
 def _present(value: Column) -> Column:
     return value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(False))
 
@@ -60,17 +76,17 @@ def classify(lines: DataFrame, required: Mapping[str, str]) -> DataFrame:
 
     ``required``: field -> type for the fields a record must hold.
     """
-    lines = _once(lines, __m=fields_map(), __t=F.trim(F.regexp_replace("line", r"[\s\u0000]+$", "")))
-    m, text = F.col("__m"), F.col("__t")
-    reason = (F.when(F.coalesce(F.length(text), F.lit(0)) == 0, "blank")
-              .when(F.col("record").isNull() & text.startswith("{") & ~text.endswith("}"), "cut_short")
-              .when(F.col("record").isNull(), "malformed")
-              .when(m.isNull(), "not_an_object"))
+    text = F.trim(F.regexp_replace("line", r"[\s\u0000]+$", ""))
+    broken = (F.when(F.coalesce(F.length(text), F.lit(0)) == 0, "blank")
+              .when(text.startswith("{") & ~text.endswith("}"), "cut_short").otherwise("malformed"))
+    # JSON is an object if it begins like one
+    reason = (F.when(F.col("record").isNull(), broken)
+              .when(~F.startswith(F.ltrim("line", F.lit(" \t\r\n")), F.lit("{")), "not_an_object"))
     for name, ddl in required.items():
-        value = F.element_at(m, F.lit(name))
-        reason = (reason.when(~_present(value), f"missing:{name}")
-                  .when(typed(value, ddl).isNull(), f"wrong_type:{name}"))
-    return _once(lines, reason=reason).drop("__m", "__t")
+        found = _present(field(name, "variant"))
+        fits = found if ddl == "variant" else field(name, ddl).isNotNull()
+        reason = reason.when(~fits, F.when(found, f"wrong_type:{name}").otherwise(f"missing:{name}"))
+    return _once(lines, reason=reason)
 
 
 def split_lines(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,7 +107,7 @@ def replay(spark: SparkSession, path: str, mend, required: Mapping[str, str]) ->
     classified anew: (good lines, lines that are still bad)."""
     kept = spark.read.parquet(path)
     lines = kept.select(mend(F.col("line"), F.col("reason")).alias("line"), "vintage")
-    return split_lines(classify(_once(lines, record=F.try_parse_json("line")), required))
+    return split_lines(classify(_once(lines, record=parsed("line")), required))
 
 
 # --- schema reconciliation ------------------------------------------------------------
@@ -152,8 +168,7 @@ def reconcile(lines: DataFrame, declared: T.StructType) -> list[Field]:
 
 def read_reconciled(lines: DataFrame, fields: list[Field]) -> DataFrame:
     """One typed column per field; absent fields and values a type cannot hold are NULL."""
-    m = _once(lines.select("record"), __m=fields_map())
-    return m.select(*[typed(F.element_at("__m", F.lit(f.name)), f.ddl).alias(f.name) for f in fields])
+    return lines.select(*[field(f.name, f.ddl).alias(f.name) for f in fields])
 
 
 def drift_report(lines: DataFrame, fields: list[Field]) -> DataFrame:

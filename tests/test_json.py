@@ -127,3 +127,20 @@ def test_quarantine_batch_replaced_and_replayed(spark):
     good, bad = jl.replay(spark, path, lambda line, reason: F.when(reason == "cut_short", F.concat(line, F.lit("}"))).otherwise(line), REQUIRED)
     assert [r.line for r in good.collect()] == ['{"id":"cut","n":2}'] * 2
     assert bad.count() == 9
+
+
+def test_lines_are_told_apart_without_a_map_of_their_fields(spark):
+    lines = ["", " \t", None, '{"k": 1}', ' \t{"k": 2}\r', '{"k": "x"}', '{"k": null}', '{"j": 1}', '[{"k": 1}]', '"k"', "7", "null",
+             '{"k": 1', '{"k": 1}}', '{"k": 1}\u0000', '\t{"k": 1', "{", "}", '{"k": {"k": 1}}', '{"a.b": 3, "it\'s": 4, "k": 5}']
+    df = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("record", jl.parsed("line")).withColumn("vintage", F.lit("v"))
+    text = lambda c: [r[0] for r in df.select(F.to_json(c)).collect()]
+    assert text(F.col("record")) == text(F.try_parse_json("line"))
+    out = jl.classify(df, {"k": "bigint"})
+    want = ["blank", "blank", "blank", None, None, "wrong_type:k", "missing:k", "missing:k", "not_an_object", "not_an_object", "not_an_object",
+            "not_an_object", "cut_short", None, None, "malformed", "cut_short", "malformed", "wrong_type:k", None]
+    got = {r["line"]: r["reason"] for r in out.collect()}
+    assert [got[x] for x in lines] == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapType" not in plan and "map<" not in plan
+    named = jl.classify(df.where(F.col("line").contains("a.b")), {"a.b": "bigint", "it's": "bigint", "k": "bigint"})
+    assert named.first()["reason"] is None
