@@ -118,3 +118,14 @@ def test_dim_weather_is_the_same_when_matched_stations_are_too_many_to_broadcast
     for limit in (30, 0):          # stations only; neither
         monkeypatch.setattr(star, "BROADCAST_ROWS", limit)
         assert rows(round_doubles(star.dim_weather(b, w))) == want and want
+
+
+def test_a_task_holds_few_stations_and_their_texts_are_made_before_the_join(spark):
+    """Groups of (day, station) of a task fit its memory, and a text of a station isn't made again for each day."""
+    d = scratch_dir(spark, "t-stations")
+    spark.range(8_000).select(F.col("id").alias("p_partkey")).write.parquet(f"{d}/part.parquet")
+    spark.sql("SELECT timestamp_ntz'1996-01-01 00:00:00' AS o_orderdate").write.parquet(f"{d}/orders.parquet")
+    assert si.spread_stations(spark, d).rdd.getNumPartitions() >= 20
+    for by_month in (False, True):
+        plan = si.weather(spark, d, by_month=by_month)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index("CITY:")
