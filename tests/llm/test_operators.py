@@ -204,6 +204,22 @@ def test_periodic_text_repeats_itself(spark):
     assert got == {1: 90, 2: 36, 3: 35}
 
 
+def test_superkmer_places_of_a_frequent_window_do_not_meet():
+    """300 rows of one passage: a range for each, dealt over as many keys; not a row for each of its 26 windows under 26 keys."""
+    import numpy as np
+    import pyarrow as pa
+    from types import SimpleNamespace as held
+    text = " ".join(f"w{i}" for i in range(60))
+    b = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array([text] * 300), pa.array([7] * 300, pa.int64())], ["id", "text", "th"])
+    hot = {int(x) for c in superkmer._count_minimisers(35, 4)([b]) for x in c.column("key").to_pylist()}
+    schema = pa.schema([("key", pa.int64()), ("own", pa.bool_()), ("text", pa.binary()), ("id", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
+    marks = held(value=np.zeros(superkmer.SEEN_BITS // 8, np.uint8).tobytes())
+    out = pa.Table.from_batches(superkmer._deal(35, 4, held(value=sorted(hot)), marks, held(value=None), schema)([b])).to_pylist()
+    ranges = [r for r in out if r["text"] is None]
+    assert sorted((r["id"], r["start"], r["n"]) for r in ranges) == [(i, 0, 26) for i in range(300)]
+    assert len({r["key"] for r in ranges}) == 300 and len(out) == 326
+
+
 # --- 6: personal data ----------------------------------------------------------------------
 
 PATTERNS = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
