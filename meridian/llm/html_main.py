@@ -147,6 +147,8 @@ def read_blocks(page: str) -> list[_Block]:
                 end = None if tag in endless else re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, pos)
                 if end is None:
                     endless.add(tag)
+                    if tag in MEDIA_TAGS:            # it parts the words on its sides
+                        parts.append(" ")
                 pos = end.end() if end else (n if tag not in MEDIA_TAGS else pos)
             continue
         if tag == "br":
